@@ -5,10 +5,12 @@ positions, and an edge of byte pieces for a character that is no piece.  Forward
 Viterbi scores of all positions are exact estimates of what remains, so a
 backward A-star search from the end pops complete segmentations best first.
 
-No piece has a space after another character, so the lattice falls apart at the
-words; words' N best are kept in a bounded cache and combined exactly: of N best
-texts, only words with one of the N - 1 smallest losses of a second choice can
-differ from their first.  Scores are integers (thousandths of a nat) from the
+No piece has a line end, a tab, or a space after another character, so the lattice falls apart at the
+words.  Words' best segmentations and the loss of their second best are found
+in lockstep for all new words of a batch and kept in a bounded cache.  Of the N
+best texts, only words with one of the N - 1 smallest losses can differ from
+their best, so the A-star search runs on those words, and their N best are combined.
+Scores are integers (thousandths of a nat) from the
 pieces' ranks by Zipf's law, so sums don't depend on their order.
 
 Defined results: null text is empty and has no pieces; decoding gives the text
@@ -28,6 +30,7 @@ from array import array
 from collections.abc import Iterator
 from itertools import product
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,10 +40,14 @@ from tidelake.llm.common import spread, table, worker_state
 MODEL = "piece_bpe_32k.model"
 N_BEST = 4
 #: Words that a worker's cache may hold, and the longest of them.
-CACHE, LONGEST = 200_000, 64
+CACHE, LONGEST = 400_000, 64
 #: Score of one byte piece, and what each piece costs besides its rank's logarithm.
 BYTE_SCORE, EACH = -14_000, 3_000
-CHUNK = re.compile(r" *[^ ]+| +")
+#: Of the polynomial hash by which many words' pieces are found at once.
+MULTIPLIER = 0x9E3779B97F4A7C15
+NEVER = -(1 << 60)
+#: Words, and single line ends and tabs: no piece has such a character, or a space after another one.
+CHUNK = re.compile(r" *[^ \t\n\r]+|[\t\n\r]| +")
 
 
 class Lattice:
@@ -50,8 +57,27 @@ class Lattice:
         """``pieces``: text to (id, score), spaces as spaces; ``byte_ids``: the id of each byte value."""
         self.pieces, self.byte_ids, self.n = pieces, byte_ids, n
         self.longest = max(map(len, pieces), default=1)
+        if any(re.search(r"[\t\n\r]|[^ ] ", t) for t in pieces):
+            raise ValueError("a piece goes over a word's end")
         self.bytes_of: dict[int, bytes] = {i: t.encode() for t, (i, _) in pieces.items()} | {i: bytes([b]) for b, i in enumerate(byte_ids)}
         self.known: dict[str, tuple] = {}
+        self.listed: dict[str, list] = {}
+        by_length: dict[int, list] = {}
+        for text, (id_, score) in pieces.items():
+            by_length.setdefault(len(text), []).append((self._hash(text), score, id_))
+        self.by_length = {}
+        for size, rows in by_length.items():
+            rows.sort()
+            self.by_length[size] = (np.array([r[0] for r in rows], np.uint64), np.array([r[1] for r in rows], np.int64), np.array([r[2] for r in rows], np.int64))
+        hashes = [r[0] for rows in by_length.values() for r in rows]
+        self.lockstep_works = len(set(hashes)) == len(hashes)
+
+    @staticmethod
+    def _hash(text: str) -> int:
+        h = 0
+        for c in text:
+            h = (h * MULTIPLIER + ord(c)) & 0xFFFFFFFFFFFFFFFF
+        return h
 
     @classmethod
     def load(cls, path: str, n: int = N_BEST) -> Lattice:
@@ -69,10 +95,11 @@ class Lattice:
 
     def edges(self, text: str) -> list[list[tuple[int, int, tuple[int, ...]]]]:
         """For each end position, (start, score, ids) of the edges that lead to it."""
-        into: list[list] = [[] for _ in range(len(text) + 1)]
-        get = self.pieces.get
-        for i in range(len(text)):
-            for j in range(i + 1, min(len(text), i + self.longest) + 1):
+        size = len(text)
+        into: list[list] = [[] for _ in range(size + 1)]
+        get, longest = self.pieces.get, self.longest
+        for i in range(size):
+            for j in range(i + 1, min(size, i + longest) + 1):
                 found = get(text[i:j])
                 if found is not None:
                     into[j].append((i, found[1], (found[0],)))
@@ -81,6 +108,44 @@ class Lattice:
                     into[j].append((i, BYTE_SCORE * len(ids), ids))
         return into
 
+    def best_and_loss(self, text: str) -> tuple[int, tuple[int, ...], int]:
+        """(score, ids, loss) of the best segmentation; loss: how much less the second best scores.
+
+        The second best has an edge that the best hasn't, so it is the best one through such an edge.
+        """
+        into, size = self.edges(text), len(text)
+        best, back = [0] * (size + 1), [None] * (size + 1)
+        for j in range(1, size + 1):
+            top = None
+            for edge in into[j]:
+                value = best[edge[0]] + edge[1]
+                if top is None or value > top:
+                    top, back[j] = value, edge
+            best[j] = top
+        rest = [None] * (size + 1)
+        rest[size], second = 0, None
+        for j in range(size, 0, -1):
+            after = rest[j]
+            if after is None:
+                continue
+            for edge in into[j]:
+                i, value = edge[0], edge[1] + after
+                if rest[i] is None or value > rest[i]:
+                    rest[i] = value
+        on_path, j, ids = set(), size, []
+        while j:
+            on_path.add(id(back[j]))
+            ids.append(back[j][2])
+            j = back[j][0]
+        for j in range(1, size + 1):
+            after = rest[j]
+            if after is not None:
+                for edge in into[j]:
+                    value = best[edge[0]] + edge[1] + after
+                    if (second is None or value > second) and id(edge) not in on_path:
+                        second = value
+        return best[size], tuple(x for part in reversed(ids) for x in part), (1 << 60 if second is None else best[size] - second)
+
     def n_best(self, text: str, n: int | None = None) -> list[tuple[int, tuple[int, ...]]]:
         """(score, ids) of the best segmentations, best first."""
         n = n or self.n
@@ -105,42 +170,125 @@ class Lattice:
                 heapq.heappush(heap, (-(best[i] + s + score), i, serial, score + s, ids, entry))
         return out
 
-    def word(self, text: str) -> tuple:
-        """(ids as little-endian bytes, score, loss of the second choice, choices) of a word."""
+    def learn(self, words: list[str]) -> None:
+        """Put the words' best segmentations and losses into the cache, many words a step."""
+        if len(self.known) + len(words) > CACHE:
+            self.known.clear()
+        words = sorted({w for w in words if len(w) <= LONGEST}, key=len)
+        for i in range(0, len(words), 8192):
+            self._lockstep(words[i : i + 8192])
+
+    def _lockstep(self, words: list[str]) -> None:
+        n = len(words)
+        lens = np.array([len(w) for w in words])
+        size = int(lens.max())
+        codes = np.zeros((size, n), dtype=np.uint64)
+        flat = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        column = np.repeat(np.arange(n), lens)
+        codes[np.arange(len(flat)) - np.repeat(np.cumsum(lens) - lens, lens), column] = flat
+        prefix = np.zeros((size + 1, n), dtype=np.uint64)
+        factor = np.uint64(MULTIPLIER)
+        for j in range(size):
+            prefix[j + 1] = prefix[j] * factor + codes[j]
+        scores, ids, power = {}, {}, 1
+        plain = np.ones(n, dtype=bool)  # every character is a piece
+        for width in range(1, min(self.longest, size) + 1):
+            power = power * MULTIPLIER & 0xFFFFFFFFFFFFFFFF
+            if width not in self.by_length:
+                continue
+            table, values, id_of = self.by_length[width]
+            h = prefix[width:] - prefix[:-width] * np.uint64(power)
+            at = np.minimum(np.searchsorted(table, h.reshape(-1)).reshape(h.shape), len(table) - 1)
+            there = (table[at] == h) & (np.arange(width, size + 1)[:, None] <= lens)
+            scores[width], ids[width] = np.where(there, values[at], NEVER), id_of[at]
+            if width == 1:
+                plain = (there | (np.arange(size)[:, None] >= lens)).all(axis=0)
+        best, back = np.full((size + 1, n), NEVER), np.zeros((size + 1, n), dtype=np.int64)
+        best[0] = 0
+        widths = sorted(scores, reverse=True)
+        for j in range(1, size + 1):
+            for width in widths:
+                if width <= j:
+                    value = best[j - width] + scores[width][j - width]
+                    more = value > best[j]
+                    best[j][more], back[j][more] = value[more], width
+        rest = np.full((size + 1, n), NEVER)
+        rest[lens, np.arange(n)] = 0
+        for i in range(size - 1, -1, -1):
+            for width in widths:
+                if i + width <= size:
+                    np.maximum(rest[i], scores[width][i] + rest[i + width], out=rest[i])
+        second = np.full(n, 4 * NEVER)
+        total = best[lens, np.arange(n)]
+        through = {w: best[: size + 1 - w] + scores[w] + rest[w:] for w in widths}
+        at, steps = np.where(plain, lens, 0), []
+        while at.any():
+            live = np.flatnonzero(at > 0)
+            width = back[at[live], live]
+            step = np.full(n, -1, dtype=np.int64)
+            for w in np.unique(width):
+                own = live[width == w]
+                start = at[own] - w
+                step[own] = ids[int(w)][start, own]
+                through[int(w)][start, own] = NEVER
+            steps.append(step)
+            at[live] -= width
+        for w in widths:
+            np.maximum(second, through[w].max(axis=0), out=second)
+        loss = np.where(second > NEVER // 2, total - second, 1 << 60)
+        chain = np.array(steps[::-1]).T if steps else np.zeros((n, 0), dtype=np.int64)
+        raw = chain[chain >= 0].astype("<u4").tobytes()
+        ends = 4 * np.cumsum((chain >= 0).sum(axis=1))
+        begin = 0
+        for w, ok, end, t, lost in zip(words, plain.tolist(), ends.tolist(), total.tolist(), loss.tolist()):
+            if ok:
+                self.known[w] = (raw[begin:end], t, lost)
+            begin = end
+
+    def word(self, text: str) -> tuple[bytes, int, int]:
+        """(ids as little-endian bytes, score, loss of the second choice) of a word."""
         found = self.known.get(text)
         if found is None:
-            choices = self.n_best(text)
-            loss = choices[0][0] - choices[1][0] if len(choices) > 1 else 1 << 60
-            found = (array("I", choices[0][1]).tobytes(), choices[0][0], loss, choices)
+            score, ids, loss = self.best_and_loss(text)
+            found = (array("I", ids).tobytes(), score, loss)
             if len(text) <= LONGEST:
                 if len(self.known) >= CACHE:
                     self.known.clear()
                 self.known[text] = found
         return found
 
-    def encode(self, text: str) -> tuple[bytes, list[tuple[int, list[tuple[int, int]]]]]:
-        """The best ids as little-endian 32-bit integers; and each of the N best as (score, [(word, choice)] that differ from it)."""
+    def choices_of(self, text: str) -> list[tuple[int, tuple[int, ...]]]:
+        """``n_best`` of a word, through a cache of its own."""
+        found = self.listed.get(text)
+        if found is None:
+            if len(self.listed) >= CACHE // 10:
+                self.listed.clear()
+            found = self.n_best(text)
+            if len(text) <= LONGEST:
+                self.listed[text] = found
+        return found
+
+    def encode(self, text: str) -> tuple[bytes, list[tuple[int, dict[int, tuple[int, ...]]]]]:
+        """The best ids as little-endian 32-bit integers; and each of the N best as (score, {word: its ids where they aren't the best's})."""
         if not text:
-            return b"", [(0, [])]
+            return b"", [(0, {})]
+        chunks = CHUNK.findall(" " + text)
         get, word = self.known.get, self.word
-        words = [get(c) or word(c) for c in CHUNK.findall(" " + text)]
+        words = [get(c) or word(c) for c in chunks]
         total = sum([w[1] for w in words])
         open_ = heapq.nsmallest(self.n - 1, [(w[2], i) for i, w in enumerate(words) if w[2] < 1 << 60])
+        choices = {i: self.choices_of(chunks[i]) for _, i in open_}
         mixes = []
-        for choice in product(*(range(len(words[i][3])) for _, i in open_)):
+        for choice in product(*(range(len(choices[i])) for _, i in open_)):
             changed = [(i, c) for (_, i), c in zip(open_, choice) if c]
-            mixes.append((total + sum(words[i][3][c][0] - words[i][1] for i, c in changed), changed))
+            mixes.append((total + sum(choices[i][c][0] - words[i][1] for i, c in changed), changed))
         mixes.sort(key=lambda m: (-m[0], len(m[1]), m[1]))
-        return b"".join([w[0] for w in words]), mixes[: self.n]
+        return b"".join([w[0] for w in words]), [(score, {i: choices[i][c][1] for i, c in changed}) for score, changed in mixes[: self.n]]
 
     def encode_n_best(self, text: str) -> list[tuple[int, tuple[int, ...]]]:
         """(score, ids) of the N best segmentations of a whole text."""
-        words = [self.word(c) for c in CHUNK.findall(" " + text)] if text else []
-        out = []
-        for score, changed in self.encode(text)[1]:
-            pick = dict(changed)
-            out.append((score, tuple(x for i, w in enumerate(words) for x in w[3][pick.get(i, 0)][1])))
-        return out
+        words = [tuple(memoryview(self.word(c)[0]).cast("I")) for c in CHUNK.findall(" " + text)] if text else []
+        return [(score, tuple(x for i, w in enumerate(words) for x in other.get(i, w))) for score, other in self.encode(text)[1]]
 
     def decode(self, ids) -> str:
         """The text of ids, without the space put before it."""
@@ -165,12 +313,19 @@ def segment(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pat
         state = worker_state()
         lattice = state.get(("lattice", where, n)) or state.setdefault(("lattice", where, n), Lattice.load(where, n))
         for batch in batches:
-            rows = []
-            for value in batch.column(1):
-                text = value.as_py() or ""
+            rows, texts, waiting = [], [v.as_py() or "" for v in batch.column(1)], 0
+            for i, text in enumerate(texts):
+                if i >= waiting:  # the next million characters' new words
+                    new, used = set(), 0
+                    while waiting < len(texts) and (used < 1_000_000 or waiting == i):
+                        new.update(CHUNK.findall(" " + texts[waiting]))
+                        used += len(texts[waiting])
+                        waiting += 1
+                    if lattice.lockstep_works:
+                        lattice.learn([w for w in new if w not in lattice.known])
                 raw, mixes = lattice.encode(text)
                 decoded = lattice.decode(memoryview(raw).cast("I")) if raw else ""
-                others = ",".join(str(zlib.crc32(repr(changed).encode())) for _, changed in mixes)
+                others = ",".join(str(zlib.crc32(repr(sorted(changed.items())).encode())) for _, changed in mixes)
                 rows.append((len(raw) // 4, zlib.crc32(raw), ",".join(str(s) for s, _ in mixes), others, hashlib.sha256(decoded.encode("utf-8", "surrogatepass")).hexdigest(), decoded == text))
             columns = [pa.array(list(c)) for c in zip(*rows)] if rows else []
             if rows:
