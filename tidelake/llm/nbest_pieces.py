@@ -47,7 +47,7 @@ BYTE_SCORE, EACH = -14_000, 3_000
 MULTIPLIER = 0x9E3779B97F4A7C15
 NEVER = -(1 << 60)
 #: Words, and single line ends and tabs: no piece has such a character, or a space after another one.
-CHUNK = re.compile(r" *[^ \t\n\r]+|[\t\n\r]| +")
+CHUNK = re.compile(r" *[^ \t\n]+|[\t\n]| +")
 
 
 class Lattice:
@@ -57,7 +57,7 @@ class Lattice:
         """``pieces``: text to (id, score), spaces as spaces; ``byte_ids``: the id of each byte value."""
         self.pieces, self.byte_ids, self.n = pieces, byte_ids, n
         self.longest = max(map(len, pieces), default=1)
-        if any(re.search(r"[\t\n\r]|[^ ] ", t) for t in pieces):
+        if any(re.search(r"[\t\n]|[^ ] ", t) for t in pieces):
             raise ValueError("a piece goes over a word's end")
         self.bytes_of: dict[int, bytes] = {i: t.encode() for t, (i, _) in pieces.items()} | {i: bytes([b]) for b, i in enumerate(byte_ids)}
         self.known: dict[str, tuple] = {}
