@@ -28,7 +28,6 @@ import re
 import zlib
 from array import array
 from collections.abc import Iterator
-from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -268,22 +267,22 @@ class Lattice:
                 self.listed[text] = found
         return found
 
-    def encode(self, text: str) -> tuple[bytes, list[tuple[int, dict[int, tuple[int, ...]]]]]:
+    def encode(self, text: str, chunks: list[str] | None = None) -> tuple[bytes, list[tuple[int, dict[int, tuple[int, ...]]]]]:
         """The best ids as little-endian 32-bit integers; and each of the N best as (score, {word: its ids where they aren't the best's})."""
         if not text:
             return b"", [(0, {})]
-        chunks = CHUNK.findall(" " + text)
+        chunks = CHUNK.findall(" " + text) if chunks is None else chunks
         get, word = self.known.get, self.word
         words = [get(c) or word(c) for c in chunks]
         total = sum([w[1] for w in words])
         open_ = heapq.nsmallest(self.n - 1, [(w[2], i) for i, w in enumerate(words) if w[2] < 1 << 60])
         choices = {i: self.choices_of(chunks[i]) for _, i in open_}
-        mixes = []
-        for choice in product(*(range(len(choices[i])) for _, i in open_)):
-            changed = [(i, c) for (_, i), c in zip(open_, choice) if c]
-            mixes.append((total + sum(choices[i][c][0] - words[i][1] for i, c in changed), changed))
-        mixes.sort(key=lambda m: (-m[0], len(m[1]), m[1]))
-        return b"".join([w[0] for w in words]), [(score, {i: choices[i][c][1] for i, c in changed}) for score, changed in mixes[: self.n]]
+        # word by word, the N best mixes so far with each of the word's choices
+        mixes: list[tuple[int, tuple]] = [(0, ())]
+        for _, i in open_:
+            first = choices[i][0][0]
+            mixes = sorted([(lost + first - found[0], (*changed, (i, c)) if c else changed) for lost, changed in mixes for c, found in enumerate(choices[i])])[: self.n]
+        return b"".join([w[0] for w in words]), [(total - lost, {i: choices[i][c][1] for i, c in changed}) for lost, changed in mixes]
 
     def encode_n_best(self, text: str) -> list[tuple[int, tuple[int, ...]]]:
         """(score, ids) of the N best segmentations of a whole text."""
@@ -313,17 +312,18 @@ def segment(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pat
         state = worker_state()
         lattice = state.get(("lattice", where, n)) or state.setdefault(("lattice", where, n), Lattice.load(where, n))
         for batch in batches:
-            rows, texts, waiting = [], [v.as_py() or "" for v in batch.column(1)], 0
+            rows, texts, waiting, cut = [], [v.as_py() or "" for v in batch.column(1)], 0, {}
             for i, text in enumerate(texts):
                 if i >= waiting:  # the next million characters' new words
                     new, used = set(), 0
                     while waiting < len(texts) and (used < 1_000_000 or waiting == i):
-                        new.update(CHUNK.findall(" " + texts[waiting]))
+                        cut[waiting] = CHUNK.findall(" " + texts[waiting])
+                        new.update(cut[waiting])
                         used += len(texts[waiting])
                         waiting += 1
                     if lattice.lockstep_works:
                         lattice.learn([w for w in new if w not in lattice.known])
-                raw, mixes = lattice.encode(text)
+                raw, mixes = lattice.encode(text, cut.pop(i))
                 decoded = lattice.decode(memoryview(raw).cast("I")) if raw else ""
                 others = ",".join(str(zlib.crc32(repr(sorted(changed.items())).encode())) for _, changed in mixes)
                 rows.append((len(raw) // 4, zlib.crc32(raw), ",".join(str(s) for s, _ in mixes), others, hashlib.sha256(decoded.encode("utf-8", "surrogatepass")).hexdigest(), decoded == text))
