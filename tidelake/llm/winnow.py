@@ -32,6 +32,7 @@ BASE = 1000003
 SHIFT = 1 << 31
 #: Ids that fall in one group when successors are looked for.
 GROUP = 64
+NO_ID = -(1 << 62)
 
 
 def _bound(value: Column, use) -> Column:
@@ -98,13 +99,14 @@ def with_successor(docs: DataFrame, carried: list[str], id_col: str = "doc_id",
 
     Rows go out once, by groups of nearby ids; only each group's first row goes to the group before it.
     """
-    bucket = F.floor(F.col(id_col) / group)
+    # null ids have a group of their own before all others, so that plain equality keeps the partitioning
+    bucket = F.coalesce(F.floor(F.col(id_col) / group), F.lit(NO_ID))
     dealt = docs.withColumn("_bucket", bucket).repartition("_bucket")
     order = Window.partitionBy("_bucket").orderBy(F.col(id_col).asc_nulls_first(), *(F.col(c) for c in carried if c == "text"))
     payload = F.struct(*carried)
     ranked = dealt.withColumns({"_row": F.row_number().over(order), "_next": F.lead(payload).over(order)})
     heads = ranked.where("_row = 1").select("_bucket", payload.alias("_head"))
-    found = ranked.alias("l").join(_before(docs.select(bucket.alias("_bucket")), heads).alias("r"), F.col("l._bucket").eqNullSafe(F.col("r._bucket")) & F.col("l._next").isNull(), "left")
+    found = ranked.alias("l").join(_before(docs.select(bucket.alias("_bucket")), heads).alias("r"), (F.col("l._bucket") == F.col("r._bucket")) & F.col("l._next").isNull(), "left")
     chosen = F.coalesce(F.col("l._next"), F.col("r._head"))
     return found.select(*(F.col(f"l.{c}") for c in docs.columns), *(chosen[c].alias(f"next_{c}") for c in carried))
 
@@ -122,9 +124,9 @@ def _before(buckets: DataFrame, heads: DataFrame) -> DataFrame:
     outer = Window.orderBy(F.col("_upper").asc_nulls_first())
     everything = outer.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     uppers = uppers.select("_upper", F.coalesce(F.lead("_first").over(outer), F.first("_first").over(everything)).alias("_then"))
-    joined = ranked.alias("a").join(uppers.alias("b"), F.col("a._upper").eqNullSafe(F.col("b._upper")), "left")
+    joined = ranked.alias("a").join(uppers.alias("b"), F.col("a._upper") == F.col("b._upper"), "left")
     pairs = joined.select(F.col("a._bucket").alias("_bucket"), F.coalesce("a._after", "b._then")["_bucket"].alias("_to"))
-    return pairs.alias("p").join(heads.alias("h"), F.col("p._to").eqNullSafe(F.col("h._bucket"))).select(F.col("p._bucket").alias("_bucket"), F.col("h._head").alias("_head"))
+    return pairs.alias("p").join(heads.alias("h"), F.col("p._to") == F.col("h._bucket")).select(F.col("p._bucket").alias("_bucket"), F.col("h._head").alias("_head"))
 
 
 def fingerprint_with_edits(docs: DataFrame) -> DataFrame:
