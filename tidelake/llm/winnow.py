@@ -30,8 +30,8 @@ WINDOW = 16
 PRIME = 2147483647
 BASE = 1000003
 SHIFT = 1 << 31
-#: Ids that fall in one group when successors are looked for.
-GROUP = 64
+#: Ids with equal higher bits than these fall in one group when successors are looked for.
+GROUP_BITS = 6
 NO_ID = -(1 << 62)
 
 
@@ -80,7 +80,7 @@ def winnow(text: Column, k: int = K, window: int = WINDOW) -> Column:
 
 def listed(kept: Column) -> Column:
     """hash@position of each kept hash, comma-joined."""
-    one = lambda x: F.concat_ws("@", F.lower(F.hex((x / F.lit(SHIFT)).cast("long"))), (F.lit(SHIFT - 1) - x % SHIFT).cast("string"))
+    one = lambda x: F.concat_ws("@", F.lower(F.hex(F.shiftright(x, 31))), (F.lit(SHIFT - 1) - x % SHIFT).cast("string"))
     return F.array_join(F.transform(kept, one), ",")
 
 
@@ -94,13 +94,13 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(every == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(a, b)) / every)
 
 
-def with_successor(docs: DataFrame, carried: list[str], id_col: str = "doc_id", group: int = GROUP) -> DataFrame:
+def with_successor(docs: DataFrame, carried: list[str], id_col: str = "doc_id", group: int = GROUP_BITS) -> DataFrame:
     """``docs`` and, as ``next_*``, the ``carried`` columns of the row with the next id (after the last: of the first).
 
     Rows go out once, by groups of nearby ids; only each group's first row goes to the group before it.
     """
     # null ids have a group of their own before all others, so that plain equality keeps the partitioning
-    bucket = F.coalesce(F.floor(F.col(id_col) / group), F.lit(NO_ID))
+    bucket = F.coalesce(F.shiftright(F.col(id_col).cast("long"), group), F.lit(NO_ID))
     dealt = docs.withColumn("_bucket", bucket).repartition("_bucket")
     order = Window.partitionBy("_bucket").orderBy(F.col(id_col).asc_nulls_first(), *(F.col(c) for c in carried if c == "text"))
     payload = F.struct(*carried)
@@ -116,7 +116,7 @@ def _before(buckets: DataFrame, heads: DataFrame) -> DataFrame:
 
     Groups are ranked by ranks within groups of groups, so that no task sorts more than those.
     """
-    found = buckets.groupBy("_bucket").count().select("_bucket", F.floor(F.col("_bucket") / 4096).alias("_upper"))
+    found = buckets.groupBy("_bucket").count().select("_bucket", F.shiftright("_bucket", 12).alias("_upper"))
     inner = Window.partitionBy("_upper").orderBy(F.col("_bucket").asc_nulls_first())
     ranked = found.withColumns({"_after": F.lead(F.struct("_bucket")).over(inner)})
     uppers = found.groupBy("_upper").agg(F.min(F.struct("_bucket")).alias("_first"))
