@@ -274,6 +274,6 @@ def op2_simhash_bk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents, one of each near-duplicate component (the smallest id)."""
+    """The documents, one of each near-duplicate component (the smallest id, once); rows without an id go."""
     kept = near_duplicates(docs).where("id = component_id").select(F.col("id").alias("doc_id")).distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(docs.columns)
+    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns)

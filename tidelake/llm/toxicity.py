@@ -3,9 +3,8 @@
 Words that go with the label in a bounded labelled sample become lexicon voters,
 and pattern voters join them.  A generative label model estimates by EM how each
 voter votes on toxic and on clean texts, with the given label as one voter more
-whose accuracy is estimated too; correlations of voters, beyond what the class
-explains, are estimated from the posteriors, and correlated voters share one
-vote.  The posteriors are the labels from which a logistic regression is trained;
+whose accuracy is estimated too; correlations of voters, beyond what the given
+class explains, are estimated first, and correlated voters share one vote.  The posteriors are the labels from which a logistic regression is trained;
 it scores every text.
 
 Labels are read only where crc32(doc_id as text) mod 4 isn't 2.  The labelled
@@ -34,9 +33,9 @@ SAMPLE = 20_000
 LEXICON = 64
 THRESHOLD = 0.3
 #: A word becomes a voter if it is in so many sampled texts, and the lower bound of its toxic share is so high.
-LEAST_TEXTS, LEAST_SHARE = 8, 0.5
+LEAST_TEXTS, LEAST_SHARE = 5, 0.5
 #: Voters correlated above this, given the class, share a vote.
-CORRELATED = 0.3
+CORRELATED = 0.5
 WORD = re.compile(r"[^\W\d_]+")
 UPPER = re.compile("[A-Z\u00c0-\u00d6\u00d8-\u00de]")
 PATTERNS = ("shouting", "exclaiming", "repeating", "addressing")
@@ -47,13 +46,12 @@ def held_out(doc_id: Column) -> Column:
 
 
 def text_features(text: str, index: dict[str, int]) -> np.ndarray:
-    """Logarithms of lexicon counts, then the patterns' strengths."""
+    """1 for each lexicon word in the text, then the patterns' strengths."""
     out = np.zeros(len(index) + len(PATTERNS))
     words = WORD.findall(text.lower())
     for w in words:
         if w in index:
-            out[index[w]] += 1
-    out[: len(index)] = np.log1p(out[: len(index)])
+            out[index[w]] = 1
     if text:
         n = len(index)
         # of all characters: upper-case letters, exclamation marks; of all words: those that follow themselves, second person
@@ -100,8 +98,8 @@ def label_model(votes: np.ndarray, given: np.ndarray, rounds: int = 20) -> tuple
         right = (posterior[:, None] * (every > 0) + (1 - posterior)[:, None] * (every < 0)).sum(axis=0)
         return posterior, right / np.maximum((every != 0).sum(axis=0), 1)
 
-    posterior, _ = em(np.where(given > 0, 0.9, 0.1))
-    # what voters have in common beyond the class
+    # what voters have in common beyond the given class (posteriors would follow a crowd of copies)
+    posterior = np.where(given > 0, 0.9, 0.1)
     rest = every.astype(np.float64)
     for p in (posterior, 1 - posterior):
         total = max(p.sum(), 1e-9)
@@ -114,7 +112,7 @@ def label_model(votes: np.ndarray, given: np.ndarray, rounds: int = 20) -> tuple
     return posterior, accuracy, weight
 
 
-def logistic(x: np.ndarray, target: np.ndarray, ridge: float = 1e-3, rounds: int = 30) -> tuple[np.ndarray, float]:
+def logistic(x: np.ndarray, target: np.ndarray, ridge: float = 2e-4, rounds: int = 30) -> tuple[np.ndarray, float]:
     """Weights and bias of a logistic regression on soft targets, by Newton's method."""
     z = np.concatenate([x, np.ones((len(x), 1))], axis=1)
     w = np.zeros(z.shape[1])
