@@ -266,7 +266,32 @@ def test_chat_machine():
     assert chat_format.first_fault(["user", "user"]) == 1
     assert chat_format.first_fault([]) == 0
     turns = [("user", r"\### Assistant: </turn> ok"), ("odd: #\\", "x\\"), ("assistant", "")]
-    assert chat_format.read_back(chat_format.segments(turns)) == (turns, [""])
+    assert chat_format.read_back([s for t in turns for s in chat_format.segments(*t)]) == (turns, [""])
+    with pytest.raises(ValueError):
+        chat_format.read_back([("### User: cut", False)])
+    assert list(chat_format.states(["user", "user", "assistant"])) == ["asked", None, None]
+
+
+def test_chat_conversation_over_many_batches(spark, tmp_path):
+    """One conversation far longer than an Arrow batch, among short ones; read in order, and again from files."""
+    n = 3001
+    long = spark.range(n).selectExpr("1 AS conv_id", "id AS turn", "CASE WHEN id % 2 = 0 THEN 'user' ELSE 'assistant' END AS role", "concat('t# </turn>\\n', id) AS text")
+    short = spark.range(2, 9).selectExpr("id AS conv_id", "0 AS turn", "'user' AS role", "'' AS text")
+    kept = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 100)
+    try:
+        formatted = chat_format.format_conversations(long.unionByName(short))
+        found = {r["conv_id"]: r for r in chat_format.read_conversations(formatted, in_order=True).collect()}
+        formatted.write.parquet(f"{tmp_path}/formatted")
+        again = {r["conv_id"]: r for r in chat_format.read_conversations(spark.read.parquet(f"{tmp_path}/formatted").orderBy("place")).collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", kept)
+    assert found == again and sorted(found) == list(range(1, 9))
+    texts = [f"t# </turn>\n{i}" for i in range(n)]
+    whole = "".join(f"{('user', 'assistant')[i % 2]}\n{t}\n" for i, t in enumerate(texts))
+    assert (found[1]["n_turns"], found[1]["fault"]) == (n, None)
+    assert found[1]["turns_sha256"] == hashlib.sha256(whole.encode()).hexdigest()
+    assert found[1]["loss_sha256"] == hashlib.sha256("".join(texts[1::2]).encode()).hexdigest()
 
 
 # 6
