@@ -246,6 +246,26 @@ def constraint_fold(t, spark):
     return profile.fold_constraints(rows)
 
 
+@query("""SELECT schema_name, table_name, string_agg(name || ':' || data_type || ':' || coalesce(nulls, '-'), ',' ORDER BY position NULLS LAST, name) AS fields, any_value(keys) AS keys FROM
+(SELECT n_regionkey AS r, 'S' || n_regionkey AS schema_name, 'T' || n_nationkey % 2 AS table_name, n_name AS name, nullif(n_nationkey % 7, 3) AS position, CASE WHEN n_nationkey % 3 = 0 THEN 'NUMBER' ELSE 'VARCHAR2' END AS data_type,
+ CASE WHEN n_nationkey % 4 = 0 THEN CAST(n_nationkey AS VARCHAR) END AS nulls,
+ string_agg(n_name, '+') FILTER (n_nationkey % 5 < 3) OVER (PARTITION BY n_regionkey, n_nationkey % 2 ORDER BY n_nationkey ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS keys FROM nation)
+GROUP BY schema_name, table_name""")
+def catalog_snapshot(t, spark):
+    from tidelake import metadata
+
+    key = [F.concat(F.lit("S"), "n_regionkey").alias("schema_name"), F.concat(F.lit("T"), F.col("n_nationkey") % 2).alias("table_name")]
+    n, name = t("nation"), F.col("n_name").alias("name")
+    none = F.lit(None).cast("string")
+    columns = n.select(*key, name, F.expr("nullif(n_nationkey % 7, 3)").alias("position"), F.expr("if(n_nationkey % 3 = 0, 'NUMBER', 'VARCHAR2')").alias("data_type"), *(none.alias(c) for c in ("length", "precision", "scale", "nullable")))
+    statistics = n.where("n_nationkey % 4 = 0").select(*key, name, F.col("n_nationkey").alias("num_nulls"), *(none.alias(c) for c in ("num_distinct", "density", "avg_length", "min_value", "max_value")))
+    parts = n.where("n_nationkey % 5 < 3").select(*key, F.lit("PK").alias("constraint_name"), name, F.col("n_nationkey").alias("position"))
+    constraints = parts.select("schema_name", "table_name", "constraint_name", F.lit("P").alias("constraint_type")).distinct()
+    made = metadata.catalog_snapshot({"columns": columns, "statistics": statistics, "constraints": constraints, "constraint_columns": parts})
+    field = lambda f: F.concat_ws(":", f["name"], f["data_type"], F.coalesce(f["statistics"]["num_nulls"], F.lit("-")))
+    return made.select("schema_name", "table_name", F.array_join(F.transform("fields", field), ",").alias("fields"), F.array_join(F.get("constraints", F.lit(0))["columns"], "+").alias("keys"))
+
+
 @query("SELECT event_type, COUNT(*) AS failures, min(ts) AS first_seen, string_agg(DISTINCT CAST(user_id % 10 AS VARCHAR), ',' ORDER BY CAST(user_id % 10 AS VARCHAR)) AS tables FROM events WHERE value < 10 GROUP BY event_type")
 def failure_summary(t, spark):
     return telemetry.failure_summary(t("events").where("value < 10").withColumn("shard", F.col("user_id") % 10), ["event_type"], "ts", "shard")

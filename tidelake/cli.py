@@ -12,12 +12,14 @@ from pyspark.sql import SparkSession
 
 from tidelake import config as configuration
 from tidelake import orchestration
-from tidelake.events import Bus, Heartbeat, log_line, state_subscriber
+from tidelake.events import Bus, Event, Heartbeat, Notifier, log_line, state_subscriber
+from tidelake.metadata import DICTIONARIES, SnapshotStore, capture, jdbc_asker
 from tidelake.operators import maintenance, recon
-from tidelake.operators.lake import Landing, VersionedTable, Zones
+from tidelake.operators.lake import Landing, VersionedTable, Zones, mirror, register_external
 from tidelake.operators.state import StateStore
 from tidelake.pipeline import Loader, run_tables
 from tidelake.sources.jdbc import JdbcTable
+from tidelake.sources.storage import Storage
 
 LOG = "ts string, event string, schema string, table string, mode string, status string, rows long, message string, error_type string"
 
@@ -41,7 +43,9 @@ def parts(spark: SparkSession, config: dict, table: dict, run_id: str, bus: Bus)
     state = StateStore(spark, f"{runtime.get('state_root', runtime['final_root'] + '/_state')}", runtime.get("source_id", "default"), run_id, int(runtime.get("state_flush_every", 50)))
     bus.subscribe(state_subscriber(state), "state")
     source = JdbcTable.of(spark, config["jdbc"], table)
-    loader = Loader(spark, {"scd1_slicing": runtime.get("scd1_slicing"), "finalize_full_refresh": runtime.get("finalize_full_refresh", True)} | table | settings, source, landing, state, run_id, bus, target)
+    meta = runtime.get("metadata") or {}
+    kept = SnapshotStore(Storage(spark), meta["cache_path"], float(meta.get("ttl_hours", 24))).latest(meta.get("source_id", "default"), table["schema"], table["table"]) if meta.get("enabled") else None
+    loader = Loader(spark, {"schema_policy": meta.get("schema_policy"), "scd1_slicing": runtime.get("scd1_slicing"), "finalize_full_refresh": runtime.get("finalize_full_refresh", True)} | table | settings, source, landing, state, run_id, bus, target, kept.types if kept else None)
     return loader, landing, target, settings
 
 
@@ -56,15 +60,33 @@ def ingest(args, config: dict) -> int:
     bus.subscribe(lambda e: print(log_line(e, job, run_id), flush=True))
     tables = configuration.only_tables(config["tables"], args.only_tables)
     reload = {t.lower() for t in args.reload.split(",")} if args.reload else (set() if args.reload is None else {f"{t['schema']}.{t['table']}".lower() for t in tables})
+    if (meta := config["runtime"].get("metadata") or {}).get("enabled"):
+        first = JdbcTable.of(spark, config["jdbc"], tables[0]) if tables else None
+        dictionary = DICTIONARIES.get(str(config["jdbc"].get("dialect", "")).lower())
+        if first is not None and dictionary is not None:
+            store = SnapshotStore(Storage(spark), meta["cache_path"], float(meta.get("ttl_hours", 24)))
+            found = capture(jdbc_asker(spark, first.options), dictionary, store, meta.get("source_id", "default"), [(t["schema"], t["table"]) for t in tables], tuple(meta.get("skip") or ()), first.options.get("url", ""))
+            bus.publish(Event("metadata", "metadata.capture", {"tables": found}))
     made = {f"{t['schema']}.{t['table']}": (t, *parts(spark, config, t, run_id, bus)) for t in tables}
     if args.maintenance_mode:
         jobs = [(n, landing, target, settings | {"primary_keys": t["primary_keys"], "incremental_column": t["incremental_column"]}) for n, (t, _, landing, target, settings) in made.items() if target is not None]
         print(json.dumps(found := maintenance.run_all(jobs, args.maintenance_mode), default=str))
         return int(any(r["status"] == "error" for r in found))
-    with Heartbeat(bus, lambda: {"tables": len(made)}, args.heartbeat_seconds):
+    notices = Storage(spark)
+    outlet = config["runtime"].get("notify_path")
+    notifier = Notifier(lambda lines: notices.write_text(f"{outlet}/{uuid.uuid4().hex}.jsonl", lines) if outlet else None, args.notify_interval_seconds)
+    bus.subscribe(notifier.hear)
+    with Heartbeat(bus, lambda: {"tables": len(made)}, args.heartbeat_seconds), notifier:
         loads = {n: (lambda l=loader, n=n: l.run(args.load_date, reload=n.lower() in reload or None, lag_seconds=args.wm_lag_seconds)) for n, (_, loader, *_) in made.items()}
         results, errors = run_tables(spark, loads, int(config["runtime"].get("max_parallel_tables", 4)))
-    for t, loader, landing, *_ in made.values():
+    failed = {e["table"] for e in errors}
+    side, hive = config["runtime"].get("final_parquet_mirror") or {}, config["runtime"].get("hive") or {}
+    for n, (t, loader, landing, target, _) in made.items():
+        if n not in failed and target is not None and target.exists() and side.get("enabled"):
+            reg = side.get("hive_reg") or {}
+            mirror(spark, target, f"{side['root'].rstrip('/')}/{t['schema']}/{t['table']}", args.load_date, side.get("partition_col", "load_date"), {"db": reg["db"], "name": t["table"], "use_msck": reg.get("use_msck")} if reg.get("enabled") else None)
+        if n not in failed and t.get("mode", "full") == "full" and hive.get("enabled") and landing.storage.exists(landing.zones.final):
+            register_external(spark, hive["db"], t["table"], landing.zones.final)
         if t.get("mode") == "scd1":
             landing.clean_slices(t["incremental_column"], float((config["runtime"].get("staging") or {}).get("ttl_hours", 72)))
     print(json.dumps({"results": results, "errors": errors}, default=str))
@@ -114,6 +136,7 @@ def main(argv: list[str] | None = None) -> int:
     a.add_argument("--reload", nargs="?", const="", default=None)
     a.add_argument("--wm-lag-seconds", type=int)
     a.add_argument("--heartbeat-seconds", type=float, default=30)
+    a.add_argument("--notify-interval-seconds", type=float, default=300)
     a.add_argument("--dump-orchestration-plan", action="store_true")
     a.add_argument("--maintenance-mode", choices=("dry-run", "apply", "rebuild-from-raw"))
     r = commands.add_parser("recon")

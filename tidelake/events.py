@@ -74,6 +74,47 @@ def state_subscriber(state) -> Callable[[Event], None]:
     return hear
 
 
+class Notifier:
+    """Gathers events and hands them out as JSON lines every ``seconds`` (30 at least), and at the end of the block."""
+
+    def __init__(self, send: Callable[[str], None], seconds: float = 300):
+        self.send, self.seconds, self.over, self.held, self.lock = send, max(30.0, seconds), threading.Event(), [], threading.Lock()
+
+    def hear(self, event: Event) -> None:
+        with self.lock:
+            self.held.append({"ts": event.at.isoformat(), "event": event.type, **plain(event.payload)})
+
+    def flush(self) -> int:
+        """How many events went out; they are held again, in order, if that fails."""
+        with self.lock:
+            now, self.held = self.held, []
+        if now:
+            try:
+                self.send("\n".join(json.dumps(e, sort_keys=True) for e in now))
+            except Exception:
+                with self.lock:
+                    self.held = now + self.held
+                raise
+        return len(now)
+
+    def __enter__(self):
+        self.thread = threading.Thread(target=self._run, daemon=True)
+        self.thread.start()
+        return self
+
+    def _run(self) -> None:
+        while not self.over.wait(self.seconds):
+            try:
+                self.flush()
+            except Exception:  # noqa: BLE001  held; the next round sends it
+                continue
+
+    def __exit__(self, *_):
+        self.over.set()
+        self.thread.join()
+        self.flush()
+
+
 class Heartbeat:
     """A thread that publishes how many tables are running, every ``seconds`` (5 at least), until the block ends."""
 

@@ -164,7 +164,7 @@ class VersionedTable:
         names = [n if n not in columns else f"_p_{n}" for n in made]
         laid = df.withColumns(dict(zip(names, made.values()))) if made else df
         if names:
-            laid = laid.repartition(*names)  # each partition's files come from one task, split by AQE if large
+            laid = laid.hint("rebalance", *names)  # a partition's rows meet, but AQE splits one that is too large for a task
         seen = Observation(f"publish-{version}")
         writer = laid.observe(seen, F.count(F.lit(1)).alias("rows")).write
         (writer.partitionBy(*names) if names else writer).parquet(f"{self.path}/{version}")
@@ -190,6 +190,16 @@ class VersionedTable:
         self.storage.write_json(f"{self.path}/_CURRENT.json", p | {"version": p["previous"], "previous": None, "columns": columns})
 
 
+def mirror(spark: SparkSession, table: VersionedTable, root: str, day: str, column: str = "load_date", hive: dict | None = None) -> dict:
+    """Write a table's rows of one day as a plain parquet partition, and register it if ``hive`` (db, name, use_msck) says so."""
+    path = f"{root.rstrip('/')}/{column}={day}"
+    found = write_counted(upsert.mirror_for_date(table.read(), day, column).drop(column), path)
+    if hive and found["rows"]:
+        register_external(spark, hive["db"], hive["name"], root, column)
+        add_partition(spark, hive["db"], hive["name"], column, day, path, bool(hive.get("use_msck")))
+    return {"status": "mirrored" if found["rows"] else "empty", "location": path} | found
+
+
 # Hive registration
 
 HIVE = {"byte": "TINYINT", "short": "SMALLINT", "integer": "INT", "long": "BIGINT", "float": "FLOAT", "double": "DOUBLE", "binary": "BINARY", "boolean": "BOOLEAN", "string": "STRING", "date": "DATE", "timestamp": "TIMESTAMP", "timestamp_ntz": "TIMESTAMP"}

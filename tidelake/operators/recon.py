@@ -31,8 +31,9 @@ def count_status(source: int, target: int, absolute: float = 0, percent: float |
 
 def plain_count(source: DataFrame, target: DataFrame, absolute: float = 0, percent: float | None = None) -> DataFrame:
     """One row: source_count, target_count, diff, percent_diff, status."""
-    a, b = source.agg(F.count("*").alias("source_count")), target.agg(F.count("*").alias("target_count"))
-    both = a.join(b)  # one row each
+    none = F.lit(0).cast("long")
+    a, b = source.agg(F.count("*").alias("source_count"), none.alias("target_count")), target.agg(none.alias("source_count"), F.count("*").alias("target_count"))
+    both = a.union(b).agg(F.sum("source_count").alias("source_count"), F.sum("target_count").alias("target_count"))
     diff = F.abs(F.col("source_count") - F.col("target_count"))
     share = F.when(F.col("source_count") > 0, diff / F.col("source_count") * 100)
     bad = diff > F.lit(absolute)

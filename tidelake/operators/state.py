@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import time
 import uuid
 from datetime import UTC, datetime
 
@@ -45,8 +46,9 @@ def split_extra(extra: dict, known: tuple[str, ...] = KNOWN) -> dict:
 class StateStore:
     """Events and watermarks under one folder.  Rows carry an event id, and readers take each id once, so replays do no harm."""
 
-    def __init__(self, spark: SparkSession, root: str, source_id: str, run_id: str | None = None, flush_every: int = 50):
+    def __init__(self, spark: SparkSession, root: str, source_id: str, run_id: str | None = None, flush_every: int = 50, flush_seconds: float = 120):
         self.spark, self.root, self.source_id = spark, root.rstrip("/"), source_id
+        self.flush_seconds, self.flushed_at = flush_seconds, time.monotonic()
         self.run_id, self.flush_every, self.seq = run_id or uuid.uuid4().hex, flush_every, 0
         self.pending: dict[str, list[dict]] = {"events": [], "watermarks": []}
 
@@ -67,16 +69,17 @@ class StateStore:
     def _add(self, kind: str, row: dict) -> None:
         row.pop("_now", None)
         self.pending[kind].append(row)
-        if len(self.pending[kind]) >= self.flush_every:
+        if len(self.pending[kind]) >= self.flush_every or time.monotonic() - self.flushed_at >= self.flush_seconds:
             self.flush()
 
     def flush(self) -> None:
-        """Append what is pending; rows stay pending if the write fails."""
+        """Write what is pending, to a folder of its own, so that stores of several tables can flush at once; rows stay pending if that fails."""
+        self.flushed_at = time.monotonic()
         for kind, schema in (("events", EVENTS), ("watermarks", WATERMARKS)):
             rows = self.pending[kind]
             if rows:
                 names = [p.split()[0] for p in schema.split(", ")]
-                self.spark.createDataFrame([tuple(r.get(n) for n in names) for r in rows], schema).coalesce(1).write.mode("append").parquet(f"{self.root}/{kind}")
+                self.spark.createDataFrame([tuple(r.get(n) for n in names) for r in rows], schema).coalesce(1).write.parquet(f"{self.root}/{kind}/{uuid.uuid4().hex}")
                 self.pending[kind] = []
 
     def replay(self, kind: str, rows: list[dict]) -> None:
@@ -88,7 +91,7 @@ class StateStore:
 
         self.flush()
         store = Storage(self.spark)
-        own = self.spark.read.schema(schema).parquet(f"{self.root}/{kind}") if store.exists(f"{self.root}/{kind}") else self.spark.createDataFrame([], schema)
+        own = self.spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(f"{self.root}/{kind}") if store.exists(f"{self.root}/{kind}") else self.spark.createDataFrame([], schema)
         return own.where(F.col("sourceId") == self.source_id).dropDuplicates(["event_id"])
 
     def events(self) -> DataFrame:
