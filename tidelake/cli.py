@@ -13,8 +13,8 @@ from pyspark.sql import SparkSession
 from tidelake import config as configuration
 from tidelake import orchestration
 from tidelake.events import Bus, Event, Heartbeat, Notifier, log_line, state_subscriber
-from tidelake.metadata import DICTIONARIES, SnapshotStore, capture, jdbc_asker
-from tidelake.operators import maintenance, recon
+from tidelake.metadata import DICTIONARIES, Dictionary, SnapshotStore, capture, jdbc_asker
+from tidelake.operators import maintenance, profile, recon
 from tidelake.operators.lake import Landing, VersionedTable, Zones, mirror, register_external
 from tidelake.operators.state import StateStore
 from tidelake.pipeline import Loader, run_tables
@@ -42,9 +42,13 @@ def parts(spark: SparkSession, config: dict, table: dict, run_id: str, bus: Bus)
     target = VersionedTable(spark, inter["warehouse"], table["schema"], table["table"], settings["spec"]) if inter.get("enabled") and table.get("mode") == "scd1" else None
     state = StateStore(spark, f"{runtime.get('state_root', runtime['final_root'] + '/_state')}", runtime.get("source_id", "default"), run_id, int(runtime.get("state_flush_every", 50)))
     bus.subscribe(state_subscriber(state), "state")
-    source = JdbcTable.of(spark, config["jdbc"], table)
     meta = runtime.get("metadata") or {}
     kept = SnapshotStore(Storage(spark), meta["cache_path"], float(meta.get("ttl_hours", 24))).latest(meta.get("source_id", "default"), table["schema"], table["table"]) if meta.get("enabled") else None
+    source = JdbcTable.of(spark, config["jdbc"], table)
+    if rules := meta.get("guardrails"):
+        guard = profile.precision_guardrail(kept and kept.content.get("fields"), rules.get("max_precision"), rules.get("violation_action"), rules.get("open_precision_action"), rules.get("fallback"))
+        bus.publish(Event("guardrail", "guardrail.precision", {"schema": table["schema"], "table": table["table"], "status": guard.status, "issues": list(guard.issues)}))
+        source = source.guarded(guard)
     loader = Loader(spark, {"schema_policy": meta.get("schema_policy"), "scd1_slicing": runtime.get("scd1_slicing"), "finalize_full_refresh": runtime.get("finalize_full_refresh", True)} | table | settings, source, landing, state, run_id, bus, target, kept.types if kept else None)
     return loader, landing, target, settings
 
@@ -61,11 +65,11 @@ def ingest(args, config: dict) -> int:
     tables = configuration.only_tables(config["tables"], args.only_tables)
     reload = {t.lower() for t in args.reload.split(",")} if args.reload else (set() if args.reload is None else {f"{t['schema']}.{t['table']}".lower() for t in tables})
     if (meta := config["runtime"].get("metadata") or {}).get("enabled"):
-        first = JdbcTable.of(spark, config["jdbc"], tables[0]) if tables else None
-        dictionary = DICTIONARIES.get(str(config["jdbc"].get("dialect", "")).lower())
-        if first is not None and dictionary is not None:
+        dictionary = Dictionary(meta["queries"], tuple(meta.get("probes") or ())) if meta.get("queries") else DICTIONARIES.get(str(config["jdbc"].get("dialect", "")).lower())
+        if tables and dictionary is not None:
+            options = JdbcTable.of(spark, config["jdbc"], tables[0]).options()
             store = SnapshotStore(Storage(spark), meta["cache_path"], float(meta.get("ttl_hours", 24)))
-            found = capture(jdbc_asker(spark, first.options), dictionary, store, meta.get("source_id", "default"), [(t["schema"], t["table"]) for t in tables], tuple(meta.get("skip") or ()), first.options.get("url", ""))
+            found = capture(jdbc_asker(spark, options), dictionary, store, meta.get("source_id", "default"), [(t["schema"], t["table"]) for t in tables], tuple(meta.get("skip") or ()), options["url"])
             bus.publish(Event("metadata", "metadata.capture", {"tables": found}))
     made = {f"{t['schema']}.{t['table']}": (t, *parts(spark, config, t, run_id, bus)) for t in tables}
     if args.maintenance_mode:

@@ -102,7 +102,8 @@ def read_sections(ask: Callable[[str], DataFrame], dictionary: Dictionary, schem
         query = dictionary.query(section, version)
         if query and (section in NEEDED or section not in skip):
             df = ask(query.replace("{schema}", text_literal(schema)).replace("{tables}", listed))
-            found[section] = df.toDF(*(c.lower() for c in df.columns))
+            # databases pad fixed-width text
+            found[section] = df.select(*((F.rtrim(c) if t == "string" else F.col(c)).alias(c.lower()) for c, t in df.dtypes))
     return found
 
 

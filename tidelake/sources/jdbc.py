@@ -6,13 +6,13 @@ relation, and Spark's JDBC source pushes them into the database.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelake.functions.columns import is_integer_watermark
-from tidelake.functions.names import qualified, text_literal
+from tidelake.functions.names import qualified, quoted, text_literal
 from tidelake.plans.query_plan import QueryPlan, QueryResult, SelectItem
 from tidelake.plans.slicing import Slice
 
@@ -79,6 +79,10 @@ class JdbcTable:
     incremental_column: str | None = None
     kind: str | None = None
     partition_read: dict = field(default_factory=dict)
+    #: Columns that the database casts before they are read: name to () for text, or (precision, scale).
+    casts: dict[str, tuple] = field(default_factory=dict)
+    #: Why the table must not be read.
+    refused: str | None = None
 
     @classmethod
     def of(cls, spark: SparkSession, connection: dict, config: dict) -> JdbcTable:
@@ -116,12 +120,28 @@ class JdbcTable:
         return {"partitionColumn": str(p["partitionColumn"]), "lowerBound": str(p["lowerBound"]), "upperBound": str(p["upperBound"]), "numPartitions": str(p.get("numPartitions", self.connection.get("default_num_partitions", 8)))}
 
     def relation(self, partitioned: bool = False) -> DataFrame:
-        options = self.options() | {"dbtable": self.base} | (self.partition_options() if partitioned else {})
+        if self.refused:
+            raise ValueError(self.refused)
+        options = self.options() | {"dbtable": self.cast_base() if self.casts else self.base} | (self.partition_options() if partitioned else {})
         df = self.spark.read.format("jdbc").options(**options).load()
         for predicate in self.filters:
             df = df.where(predicate)
         return df.select(*self.columns) if self.columns else df
 
+    def cast_base(self) -> str:
+        """The table as a query that casts in the database, where Spark has no type for what the column holds."""
+        wanted = {k.lower(): v for k, v in self.casts.items()}
+        names = self.spark.read.format("jdbc").options(**self.options() | {"dbtable": self.base}).load().columns
+        mark = self.dialect.mark if self.connection.get("quote") else None
+        own = lambda c: quoted(c, mark) if mark else c
+        cast = lambda c: self.dialect.as_decimal(own(c), *wanted[c.lower()]) if wanted[c.lower()] else self.dialect.as_text(own(c))
+        return f"(SELECT {', '.join(f'{cast(c)} AS {own(c)}' if c.lower() in wanted else own(c) for c in names)} FROM {self.base}) q"
+
+    def guarded(self, guard) -> JdbcTable:
+        """The same table under a precision guardrail: its casts, or the refusal to read."""
+        why = "; ".join(f"{i['column']}: {i['reason']}" for i in guard.issues if i["action"] == "fail") if guard.status == "fatal" else None
+        return replace(self, casts=dict(guard.casts), refused=why)
+
     def read_full(self) -> DataFrame:
         return self.relation(partitioned=True)
 
