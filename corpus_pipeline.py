@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidelake.llm.bestfit import pack_stage
 from tidelake.llm.common import materialize, table
+from tidelake.llm.near_copies import keep_one_of_each
 from tidelake.llm.pii import redact
-from tidelake.llm.simhash_bk import keep_one_of_each
 from tidelake.llm.toxicity import drop_toxic
 
 STAGES = [

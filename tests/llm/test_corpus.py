@@ -10,7 +10,7 @@ import duckdb
 import pytest
 import xxhash
 
-from tidelake.llm import bestfit, chat_format, media_flac, nbest_pieces, pii, queries, secrets_markov, simhash_bk, toxicity, url_vocab, winnow
+from tidelake.llm import bestfit, chat_format, media_flac, nbest_pieces, near_copies, pii, queries, secrets_markov, simhash_bk, toxicity, url_vocab, winnow
 
 SF = "/root/testdata/sf0.001"
 ODD = [
@@ -472,6 +472,47 @@ def test_plan_is_best_fit_decreasing(seed):
 
 # the pipeline
 
+def plain_grams(text):
+    words = text.lower().split()
+    return {" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+
+
+def plain_groups(texts):
+    """Each text's component of 5-word Jaccard >= 0.8, as the least index in it, by all pairs."""
+    sets, root = [plain_grams(t) for t in texts], list(range(len(texts)))
+    for i in range(len(sets)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if root[i] != root[j] and both * 10 >= 8 * (len(sets[i]) + len(sets[j]) - both):
+                old, new = max(root[i], root[j]), min(root[i], root[j])
+                root = [new if r == old else r for r in root]
+    return root
+
+
+def edited_texts():
+    """Copies of texts with more and more words changed, from Jaccard of nearly 1 down to 0.6, beside a passage common to all."""
+    import random
+
+    rng, out = random.Random(8), []
+    passage = [f"c{i}" for i in range(30)]
+    for base in range(4):
+        words = [f"w{base}x{rng.randint(0, 400)}" for _ in range(rng.choice([30, 120, 300]))]
+        for changes in (0, 1, 2, 3, 5, 8):
+            copy = list(words)
+            for k in range(changes):
+                copy[rng.randrange(len(copy))] = f"n{base}x{changes}x{k}"
+            out.append(" ".join(copy + (passage if base % 2 else [])))
+    return out + ["a b", "A  b ", "", "a b c"]
+
+
+def test_near_copies_at_jaccard(spark):
+    texts = edited_texts()
+    docs = spark.createDataFrame(list(enumerate(texts)), SCHEMA)
+    kept = {r["doc_id"] for r in near_copies.keep_one_of_each(spark, docs, "").collect()}
+    assert kept == set(plain_groups(texts))
+    assert len(kept) < len({simhash_bk.fingerprint(t.encode(), 5) for t in texts})
+
+
 def test_pipeline(spark, odd):
     import corpus_pipeline
 

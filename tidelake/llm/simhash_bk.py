@@ -271,9 +271,3 @@ def op2_simhash_bk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's fingerprint and near-duplicate component."""
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
-
-
-def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents, one of each near-duplicate component (the smallest id, once); rows without an id go."""
-    kept = near_duplicates(docs).where("id = component_id").select(F.col("id").alias("doc_id")).distinct()
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns)
