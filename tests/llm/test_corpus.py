@@ -513,6 +513,13 @@ def test_near_copies_at_jaccard(spark):
     assert len(kept) < len({simhash_bk.fingerprint(t.encode(), 5) for t in texts})
 
 
+def test_one_row_of_each_component_stays(spark):
+    rows = [(None, "alpha beta"), (None, "gamma delta"), (1, "the same id"), (1, "with another text"), (1, "with another text"), (2, "The  same ID"), (None, "the same id"), (None, "with no id"), (None, "with no id")]
+    kept = near_copies.keep_one_of_each(spark, spark.createDataFrame(rows, SCHEMA), "").collect()
+    expected = [(None, "alpha beta"), (None, "gamma delta"), (1, "the same id"), (1, "with another text"), (None, "with no id")]
+    assert Counter((r["doc_id"], r["text"]) for r in kept) == Counter(expected)
+
+
 def test_pipeline(spark, odd):
     import corpus_pipeline
 

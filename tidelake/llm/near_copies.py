@@ -22,7 +22,7 @@ from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidelake.llm.common import materialize, spread
@@ -205,7 +205,11 @@ def components(docs: DataFrame, text_col: str = "text", size: int = SHINGLE, sim
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents, one of each near-duplicate component (the smallest id, once); rows without an id go."""
-    found = docs.withColumn("_node", node("text")).join(components(docs).withColumnRenamed("node", "_node"), "_node", "left")
-    kept = found.groupBy(F.coalesce("root", "_node")).agg(F.min("doc_id").alias("doc_id")).select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns)
+    """The documents, one row of each near-duplicate component: the smallest id (nulls last), then text hash."""
+    docs_of = docs.withColumn("_node", node("text"))
+    order = [F.col("doc_id").isNull(), F.col("doc_id"), F.xxhash64("text")]
+    best = docs_of.groupBy("_node").agg(F.min(F.struct(*(c.alias(k) for k, c in zip("abc", order)))).alias("best"))
+    found = components(docs).withColumnRenamed("node", "_node")
+    kept = best.join(found, "_node", "left").groupBy(F.coalesce("root", "_node")).agg(F.min_by("_node", F.struct("best", "_node")).alias("_node")).select("_node")
+    first = docs_of.withColumn("_row", F.row_number().over(Window.partitionBy("_node").orderBy(*order))).where("_row = 1")
+    return first.join(kept, "_node", "left_semi").select(docs.columns)
