@@ -453,6 +453,27 @@ def test_packing(spark, odd):
         assert check_packing(rows, 2048) == plain_best_fit([r["length"] for r in rows], 2048)
 
 
+def test_packed_sequences_hold_the_ids(spark, odd):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(bestfit.vocabulary_path())
+    docs = spark.read.parquet(f"{odd}/documents.parquet")
+    pieces = bestfit.pack_stage(spark, docs, odd)
+    pieces.persist()
+    whole = {r["sequence_id"]: bytes(r["ids"]) for r in bestfit.sequences(pieces).collect()}
+    texts, at = {}, Counter()
+    for r in sorted(pieces.collect(), key=lambda r: (r["doc_id"] or 0, r["piece"])):
+        part = whole[r["sequence_id"]][4 * r["offset"] : 4 * (r["offset"] + r["length"])]
+        assert part == bytes(r["ids"])
+        at[r["sequence_id"]] += r["length"]
+        if r["doc_id"] != 6:  # there twice
+            texts[r["doc_id"]] = texts.get(r["doc_id"], b"") + part
+    assert {s: 4 * n for s, n in at.items()} == {s: len(b) for s, b in whole.items()}
+    for i, t in documents(odd):
+        if i != 6:
+            assert texts[i] == b"".join(x.to_bytes(4, "little") for x in [*tokenizer.encode(t, add_special_tokens=False).ids, 0])
+
+
 @pytest.mark.parametrize("seed", range(6))
 def test_plan_is_best_fit_decreasing(seed):
     import random

@@ -10,7 +10,7 @@ Ranks come from counts by (length, salt), so no length is sorted in one task.
 
 Defined results: null text is empty, that is, the separator only; a document
 longer than a bin is cut into whole bins and a rest; ties go by salt, id, piece
-and checksum; repeated rows are packed each; an empty table gives no rows; other
+and token ids; ids are binary, little-endian 32-bit integers; repeated rows are packed each; an empty table gives no rows; other
 columns aren't read.
 """
 
@@ -18,7 +18,6 @@ from __future__ import annotations
 
 import re
 import unicodedata
-import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -36,6 +35,8 @@ RANKED = 1 << 20
 CACHE, LONGEST = 300_000, 64
 #: Plan runs that may be broadcast.
 PLAN_ROWS = 200_000
+#: Bytes of ids that go out at once, about.
+BATCH = 8 << 20
 
 
 class CapacityTree:
@@ -107,6 +108,21 @@ def _word_pattern() -> tuple[re.Pattern, re.Pattern]:
     return words, re.compile("[^\x00-ɏ]")
 
 
+class KnownWords(dict):
+    """Ids of words; words that aren't there are encoded, and kept within bounds."""
+
+    def __init__(self, encode):
+        self.encode = encode
+
+    def __missing__(self, word: str) -> bytes:
+        found = self.encode(word)
+        if len(word) <= LONGEST:
+            if len(self) >= CACHE:
+                self.clear()
+            self[word] = found
+        return found
+
+
 class WordEncoder:
     """Token ids of texts, word by word through a bounded cache; equal to the tokenizer's own."""
 
@@ -116,26 +132,18 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.words, self.beyond = _word_pattern()
-        self.known: dict[str, bytes] = {}
+        self.known = KnownWords(self.whole)
 
     def whole(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return b"".join([i.to_bytes(4, "little") for i in ids])
 
-    def word(self, text: str) -> bytes:
-        found = self.whole(text)
-        if len(text) <= LONGEST:
-            if len(self.known) >= CACHE:
-                self.known.clear()
-            self.known[text] = found
-        return found
-
     def encode(self, text: str) -> bytes:
         """Ids as little-endian 32-bit integers."""
-        if self.beyond.search(text) or not unicodedata.is_normalized("NFC", text) or any(s in text for s in self.special):
+        odd = not text.isascii() and (self.beyond.search(text) or not unicodedata.is_normalized("NFC", text))
+        if odd or any(s in text for s in self.special):
             return self.whole(text)
-        get, word = self.known.get, self.word
-        return b"".join([get(w) or word(w) for w in self.words.findall(text.lower())])
+        return b"".join(map(self.known.__getitem__, self.words.findall(text.lower())))
 
 
 def vocabulary_path(name: str = MODEL) -> str:
@@ -145,39 +153,45 @@ def vocabulary_path(name: str = MODEL) -> str:
 
 
 def token_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, capacity: int = CAPACITY) -> DataFrame:
-    """(id, piece, start, length, ids_crc32): each document's ids and the separator, cut at the bin size."""
-    names = ["id", "piece", "start", "length", "ids_crc32"]
+    """(id, piece, start, length, ids): each document's ids and the separator, cut at the bin size."""
+
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        columns = [pa.array(list(c), t) for c, t in zip(zip(*rows), (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()))]
+        return pa.RecordBatch.from_arrays(columns, ["id", "piece", "start", "length", "ids"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         where = path or vocabulary_path()
         state = worker_state()
         encoder = state.get(("words", where)) or state.setdefault(("words", where), WordEncoder(where))
         for batch in batches:
-            rows = []
+            rows, held = [], 0
             for i, value in zip(batch.column(0).to_pylist(), batch.column(1)):
                 raw = encoder.encode(value.as_py() or "") + SEPARATOR.to_bytes(4, "little")
                 for piece, at in enumerate(range(0, len(raw), 4 * capacity)):
                     part = raw[at : at + 4 * capacity]
-                    rows.append((i, piece, at // 4, len(part) // 4, zlib.crc32(part)))
+                    rows.append((i, piece, at // 4, len(part) // 4, part))
+                    held += len(part)
+                    if held >= BATCH:
+                        yield batch_of(rows)
+                        rows, held = [], 0
             if rows:
-                columns = [pa.array(list(c), t) for c, t in zip(zip(*rows), (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()))]
-                yield pa.RecordBatch.from_arrays(columns, names)
+                yield batch_of(rows)
 
     source = spread(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")))
-    return source.mapInArrow(run, "id long, piece int, start long, length long, ids_crc32 long")
+    return source.mapInArrow(run, "id long, piece int, start long, length long, ids binary")
 
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """``pieces`` with ``sequence_id`` and ``offset``; their ``length`` is 1 to ``capacity``.  They are read twice."""
+    """``pieces``, with a ``hash`` of the row that breaks ties, and with ``sequence_id`` and ``offset``; their ``length`` is 1 to ``capacity``.  They are read twice."""
     spark = pieces.sparkSession
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}  # at most ``capacity`` rows
     if not counts:
         return pieces.withColumns({"sequence_id": F.lit(0).cast("long"), "offset": F.lit(0).cast("long")})
     salts = max(64, -(-max(counts.values()) // RANKED))
-    salted = pieces.withColumn("_salt", F.pmod(F.xxhash64("id", "piece", "ids_crc32"), F.lit(salts)).cast("int"))
+    salted = pieces.withColumn("_salt", F.pmod("hash", F.lit(salts)).cast("int"))
     before = Window.partitionBy("length").orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)
     firsts = salted.groupBy("length", "_salt").agg(F.count("*").alias("_n")).withColumn("_first", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
-    own = Window.partitionBy("length", "_salt").orderBy("id", "piece", "ids_crc32")
+    own = Window.partitionBy("length", "_salt").orderBy("id", "piece", "ids")
     ranked = salted.withColumn("_own", F.row_number().over(own) - 1).join(firsts, ["length", "_salt"]).withColumn("_rank", F.col("_first") + F.col("_own"))
     runs = spark.createDataFrame(plan(counts, capacity), "length long, _from long, _to long, _bin long, _each long, _base long")
     found = ranked.join(F.broadcast(runs) if runs.count() <= PLAN_ROWS else runs, "length").where("_rank >= _from AND _rank < _to")
@@ -186,14 +200,21 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 
 def packed(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """Every document's pieces, packed."""
-    pieces = materialize(token_pieces(docs, capacity=capacity), "pieces")
-    return pack(pieces, capacity).withColumnRenamed("id", "doc_id").select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+    """Every document's pieces with their token ids, packed."""
+    pieces = materialize(token_pieces(docs, capacity=capacity).withColumn("hash", F.xxhash64("id", "piece", "ids")), "pieces")
+    return pack(pieces, capacity).withColumnRenamed("id", "doc_id").select("doc_id", "piece", "start", "length", "ids", "sequence_id", "offset")
+
+
+def sequences(pieces: DataFrame) -> DataFrame:
+    """(sequence_id, ids): packed pieces put together, each sequence's token ids in order."""
+    parts = F.array_sort(F.collect_list(F.struct("offset", "ids")))
+    joined = F.aggregate(parts, F.lit(b"").cast("binary"), lambda ids, part: F.concat(ids, part["ids"]))
+    return pieces.groupBy("sequence_id").agg(joined.alias("ids"))
 
 
 def op10_bestfit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents packed into sequences."""
-    return packed(table(spark, sf_dir, "documents"))
+    """All documents packed into sequences; a checksum stands for each piece's ids."""
+    return packed(table(spark, sf_dir, "documents")).select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
 
 
 def pack_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
