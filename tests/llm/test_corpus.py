@@ -380,6 +380,20 @@ def test_pieces_round_trip(spark, odd):
         assert all(r["exact"] for r in rows)
 
 
+def test_segments_are_whole_and_decode(spark, odd):
+    lattice = nbest_pieces.Lattice.load(nbest_pieces.vocabulary_path())
+    docs = spark.read.parquet(f"{odd}/documents.parquet").where("doc_id < 12 OR doc_id > 13")
+    found = nbest_pieces.decode(nbest_pieces.segment(docs)).collect()
+    checksums = {r["doc_id"]: r["n_best_crc32"] for r in nbest_pieces.op9_nbest_pieces(spark, odd).collect()}
+    assert len(found) == docs.count()
+    for r in found:
+        expected = lattice.encode_n_best(r["text"] or "")
+        ids = [memoryview(bytes(b)).cast("I").tolist() for b in r["ids"]]
+        assert list(zip(r["scores"], map(tuple, ids))) == expected
+        assert r["decoded"] == [r["text"] or ""] * len(expected) == [lattice.decode(x) for x in ids]
+        assert checksums[r["id"]] == ",".join(str(zlib.crc32(bytes(b))) for b in r["ids"])
+
+
 def test_n_best_is_exact():
     """Against every segmentation of short texts, and the lockstep search against the plain one."""
     import random

@@ -21,18 +21,17 @@ besides the id and the text aren't read.
 
 from __future__ import annotations
 
-import hashlib
 import heapq
 import math
 import re
-import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from tidelake.llm.common import spread, table, worker_state
 
@@ -45,6 +44,9 @@ BYTE_SCORE, EACH = -14_000, 3_000
 #: Of the polynomial hash by which many words' pieces are found at once.
 MULTIPLIER = 0x9E3779B97F4A7C15
 NEVER = -(1 << 60)
+#: Bytes of ids that go out at once, about.
+BATCH = 4 << 20
+SEGMENTS = "id long, text string, scores array<long>, ids array<binary>"
 #: Words, and single line ends and tabs: no piece has such a character, or a space after another one.
 CHUNK = re.compile(r" *[^ \t\n]+|[\t\n]| +")
 
@@ -274,6 +276,10 @@ class Lattice:
         chunks = CHUNK.findall(" " + text) if chunks is None else chunks
         get, word = self.known.get, self.word
         words = [get(c) or word(c) for c in chunks]
+        return b"".join([w[0] for w in words]), self.mixes(words, chunks)
+
+    def mixes(self, words: list[tuple[bytes, int, int]], chunks: list[str]) -> list[tuple[int, dict[int, tuple[int, ...]]]]:
+        """Each of the N best of a text as (score, {word: its ids where they aren't the best's})."""
         total = sum([w[1] for w in words])
         open_ = heapq.nsmallest(self.n - 1, [(w[2], i) for i, w in enumerate(words) if w[2] < 1 << 60])
         choices = {i: self.choices_of(chunks[i]) for _, i in open_}
@@ -282,13 +288,34 @@ class Lattice:
         for _, i in open_:
             first = choices[i][0][0]
             mixes = sorted([(lost + first - found[0], (*changed, (i, c)) if c else changed) for lost, changed in mixes for c, found in enumerate(choices[i])])[: self.n]
-        return b"".join([w[0] for w in words]), [(total - lost, {i: choices[i][c][1] for i, c in changed}) for lost, changed in mixes]
+        return [(total - lost, {i: choices[i][c][1] for i, c in changed}) for lost, changed in mixes]
+
+    def encode_whole(self, text: str, chunks: list[str] | None = None) -> list[tuple[int, bytes]]:
+        """(score, ids as little-endian 32-bit integers) of the N best segmentations of a whole text."""
+        if not text:
+            return [(0, b"")]
+        chunks = CHUNK.findall(" " + text) if chunks is None else chunks
+        get, word = self.known.get, self.word
+        words = [get(c) or word(c) for c in chunks]
+        parts, out = [w[0] for w in words], []
+        for score, changed in self.mixes(words, chunks):
+            own = parts
+            if changed:
+                own = parts.copy()
+                for i, ids in changed.items():
+                    own[i] = array("I", ids).tobytes()
+            out.append((score, b"".join(own)))
+        return out
 
     def encode_n_best(self, text: str) -> list[tuple[int, tuple[int, ...]]]:
         """(score, ids) of the N best segmentations of a whole text."""
         words = [tuple(memoryview(self.word(c)[0]).cast("I")) for c in CHUNK.findall(" " + text)] if text else []
         return [(score, tuple(x for i, w in enumerate(words) for x in other.get(i, w))) for score, other in self.encode(text)[1]]
 
+    def decoded(self, raw: bytes) -> bytes:
+        """The UTF-8 text of little-endian 32-bit ids."""
+        return b"".join(map(self.bytes_of.__getitem__, memoryview(raw).cast("I")))[1:]
+
     def decode(self, ids) -> str:
         """The text of ids, without the space put before it."""
         return b"".join(map(self.bytes_of.__getitem__, ids))[1:].decode("utf-8", "surrogatepass")
@@ -300,19 +327,36 @@ def vocabulary_path(name: str = MODEL) -> str:
     return public_tokenizers.path(name)
 
 
+def lattice_of(path: str | None, n: int) -> Lattice:
+    """A worker's lattice."""
+    where = path or vocabulary_path()
+    state = worker_state()
+    return state.get(("lattice", where, n)) or state.setdefault(("lattice", where, n), Lattice.load(where, n))
+
+
 def segment(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, n: int = N_BEST) -> DataFrame:
-    """(id, n_pieces, ids_crc32, n_best_scores, n_best_crc32, decoded_sha256, exact) of every text.
+    """(id, text, scores, ids) of every text: its N best segmentations, best first, each as little-endian 32-bit ids.
 
     ``path``: the vocabulary file, the same on every worker; by default the installed public one.
     """
-    names = ["id", "n_pieces", "ids_crc32", "n_best_scores", "n_best_crc32", "decoded_sha256", "exact"]
+    return texts_of(docs, id_col, text_col).mapInArrow(segmenter(path, n), SEGMENTS)
+
+
+def texts_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    return spread(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")))
+
+
+def segmenter(path: str | None = None, n: int = N_BEST) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``segment`` on batches of (id, text)."""
+
+    def batch_of(part: pa.RecordBatch, rows: list[list[tuple[int, bytes]]]) -> pa.RecordBatch:
+        scores, ids = pa.array([[s for s, _ in r] for r in rows], pa.list_(pa.int64())), pa.array([[b for _, b in r] for r in rows], pa.list_(pa.binary()))
+        return pa.RecordBatch.from_arrays([*part.columns, scores, ids], ["id", "text", "scores", "ids"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        where = path or vocabulary_path()
-        state = worker_state()
-        lattice = state.get(("lattice", where, n)) or state.setdefault(("lattice", where, n), Lattice.load(where, n))
+        lattice = lattice_of(path, n)
         for batch in batches:
-            rows, texts, waiting, cut = [], [v.as_py() or "" for v in batch.column(1)], 0, {}
+            rows, held, texts, waiting, cut = [], 0, [v.as_py() or "" for v in batch.column(1)], 0, {}
             for i, text in enumerate(texts):
                 if i >= waiting:  # the next million characters' new words
                     new, used = set(), 0
@@ -323,18 +367,49 @@ def segment(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pat
                         waiting += 1
                     if lattice.lockstep_works:
                         lattice.learn([w for w in new if w not in lattice.known])
-                raw, mixes = lattice.encode(text, cut.pop(i))
-                decoded = lattice.decode(memoryview(raw).cast("I")) if raw else ""
-                others = ",".join(str(zlib.crc32(repr(sorted(changed.items())).encode())) for _, changed in mixes)
-                rows.append((len(raw) // 4, zlib.crc32(raw), ",".join(str(s) for s, _ in mixes), others, hashlib.sha256(decoded.encode("utf-8", "surrogatepass")).hexdigest(), decoded == text))
-            columns = [pa.array(list(c)) for c in zip(*rows)] if rows else []
+                rows.append(lattice.encode_whole(text, cut.pop(i)))
+                held += sum(len(b) for _, b in rows[-1])
+                if held >= BATCH:
+                    yield batch_of(batch.slice(i + 1 - len(rows), len(rows)), rows)
+                    rows, held = [], 0
             if rows:
-                yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names)
+                yield batch_of(batch.slice(len(texts) - len(rows)), rows)
+
+    return run
+
+
+def decode(segments: DataFrame, ids_col: str = "ids", path: str | None = None) -> DataFrame:
+    """``segments`` with ``decoded``: the texts of the segmentations in column ``ids_col``."""
+    schema = StructType([*segments.schema.fields, StructField("decoded", ArrayType(StringType()))])
+    return segments.mapInArrow(decoder(ids_col, path), schema)
+
+
+def decoder(ids_col: str = "ids", path: str | None = None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``decode`` on batches."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        text_of = lattice_of(path, N_BEST).decoded
+        for batch in batches:
+            column, start, held, texts = batch.column(ids_col), 0, 0, []
+            for i, each in enumerate(column):
+                found = each.as_py()
+                texts.append(None if found is None else [text_of(b) for b in found])
+                held += sum(map(len, found or ()))
+                if held >= BATCH or i + 1 == len(column):
+                    part = batch.slice(start, len(texts))
+                    yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.list_(pa.string()))], [*part.schema.names, "decoded"])
+                    start, held, texts = i + 1, 0, []
 
-    source = spread(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")))
-    return source.mapInArrow(run, "id long, n_pieces long, ids_crc32 long, n_best_scores string, n_best_crc32 string, decoded_sha256 string, exact boolean")
+    return run
 
 
 def op9_nbest_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The N best segmentations of every document."""
-    return segment(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+    """The N best segmentations of every document, decoded again; checksums stand for ids and texts."""
+    encode_batches, decode_batches = segmenter(), decoder()  # in one worker, which holds one lattice
+    found = texts_of(table(spark, sf_dir, "documents")).mapInArrow(lambda batches: decode_batches(encode_batches(batches)), SEGMENTS + ", decoded array<string>")
+    crcs = F.transform("ids", lambda b: F.crc32(b).cast("string"))
+    return found.select(
+        F.col("id").alias("doc_id"), (F.octet_length(F.col("ids")[0]) / 4).cast("long").alias("n_pieces"), F.crc32(F.col("ids")[0]).alias("ids_crc32"),
+        F.array_join(F.transform("scores", lambda s: s.cast("string")), ",").alias("n_best_scores"), F.array_join(crcs, ",").alias("n_best_crc32"),
+        F.sha2(F.col("decoded")[0].cast("binary"), 256).alias("decoded_sha256"), F.forall("decoded", lambda t: t == F.coalesce("text", F.lit(""))).alias("exact"),
+    )
