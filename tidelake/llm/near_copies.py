@@ -6,8 +6,8 @@ two similar sets share at least min(``shared`` of each) grams among the first
 enough of its first grams are in another text; few are left.  The second orders
 what is left by frequency, rarest first, so that common passages come last, and
 pairs texts that share one of their first grams: with the first text of each
-gram, then those that are still in different components.  Every pair is confirmed
-by the similarity of its sets before it links.
+gram, then those that are still in different components.  Pairs whose parity bits
+differ too much can't be similar and don't go on.  Every other pair is confirmed by the similarity of its sets before it links.
 
 Defined results: case and white space don't count; null text is empty; a text of
 fewer words than a gram is one gram.  Grams and texts stand for themselves by
@@ -32,6 +32,8 @@ SHINGLE = 5
 SIMILARITY = 0.8
 #: Rows that are worked on at once, about.
 ROWS = 100_000
+#: Columns of a set's parity bits: each of 512 tells whether an odd number of grams has it.
+BITS = [f"bits{i}" for i in range(8)]
 
 
 def least(n: int, similarity: float) -> int:
@@ -59,6 +61,12 @@ def grams(text: bytes, size: int = SHINGLE) -> np.ndarray:
     return np.unique(found.view(np.int64))
 
 
+def parity(found: np.ndarray) -> np.ndarray:
+    """Two sets' bits differ in at most as many places as the sets do."""
+    odd = np.bincount(found & 511, minlength=512) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def normal(text_col: str) -> Column:
     return F.trim(F.regexp_replace(F.lower(F.coalesce(F.col(text_col).cast("string"), F.lit(""))), r"\s+", " "))
 
@@ -155,7 +163,8 @@ def components(docs: DataFrame, text_col: str = "text", size: int = SHINGLE, sim
     def whole_sets(batches):
         for batch in batches:
             found = [grams(text.as_py(), size) for text in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([g.tobytes() for g in found], pa.binary())], ["node", "grams"])
+            bits = np.array([parity(g) for g in found], np.int64).reshape(-1, len(BITS))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([g.tobytes() for g in found], pa.binary()), *map(pa.array, bits.T)], ["node", "grams", *BITS])
 
     def every_gram(batches):
         return entries_of((t, g, len(g)) for batch in batches for t, g in zip(batch.column(0).to_pylist(), (np.frombuffer(x.as_py(), np.int64) for x in batch.column(1))))
@@ -169,14 +178,17 @@ def components(docs: DataFrame, text_col: str = "text", size: int = SHINGLE, sim
 
     def pairs_of(batches, rest):
         """With each gram's first text, or else the other pairs of different components."""
-        for gram, text, n, root in whole_keys(batches):
+        for gram, text, n, root, *bits in whole_keys(batches):
+            bits = np.stack(bits, axis=1)
             a, b = [], []
             for s, many in zip(*groups(gram)):
-                t, k, r = (x[s : s + many] for x in (text, n, root))
+                t, k, r, p = (x[s : s + many] for x in (text, n, root, bits))
                 if many < 2 or rest and (r == r[0]).all():
                     continue
                 for i in range(1, many - 1) if rest else (0,):
                     near = np.minimum(k[i + 1 :], k[i]) >= similarity * np.maximum(k[i + 1 :], k[i]) - 1e-9
+                    apart = np.bitwise_count((p[i + 1 :] ^ p[i]).view(np.uint64)).sum(axis=1, dtype=np.int64)
+                    near &= apart <= (k[i + 1 :].astype(np.int64) + k[i]) * (1 - similarity) / (1 + similarity) + 1e-9
                     if rest:
                         near &= r[i + 1 :] != r[i]
                     b.append(t[i + 1 :][near])
@@ -189,12 +201,12 @@ def components(docs: DataFrame, text_col: str = "text", size: int = SHINGLE, sim
     common = in_others(spread(texts).mapInArrow(first_grams, "gram long, node long, n int"))
     candidates = common.groupBy("node").agg(F.count("*").alias("found"), F.first("n").alias("n")).where("found >= n").select("node")
     one_each = texts.groupBy("node").agg(F.first("normal").alias("normal"))
-    sets = materialize(one_each.join(candidates, "node", "left_semi").mapInArrow(whole_sets, "node long, grams binary"), "grams")
-    ordered = in_others(sets.mapInArrow(every_gram, "gram long, node long, n int")).select("node", "texts", "gram", "n").repartition("node").sortWithinPartitions("node", "texts", "gram")
-    entries = materialize(ordered.mapInArrow(rarest, "gram long, node long, n int"), "entries")
+    sets = materialize(one_each.join(candidates, "node", "left_semi").mapInArrow(whole_sets, ", ".join(["node long, grams binary", *(f"{b} long" for b in BITS)])), "grams")
+    ordered = in_others(sets.select("node", "grams").mapInArrow(every_gram, "gram long, node long, n int")).select("node", "texts", "gram", "n").repartition("node").sortWithinPartitions("node", "texts", "gram")
+    entries = materialize(ordered.mapInArrow(rarest, "gram long, node long, n int").join(sets.drop("grams"), "node"), "entries")
 
     def links(roots, rest):
-        by_gram = roots.select("gram", "node", "n", "root").repartition("gram").sortWithinPartitions("gram", "node")
+        by_gram = roots.select("gram", "node", "n", "root", *BITS).repartition("gram").sortWithinPartitions("gram", "node")
         found = by_gram.mapInArrow(lambda batches: pairs_of(batches, rest), "a long, b long").distinct()
         return materialize(similar_pairs(found, sets, similarity), "similar")
 
