@@ -419,11 +419,13 @@ def test_n_best_is_exact():
         found = lattice.encode_n_best(text)
         assert [s for s, _ in found] == expected and all(lattice.decode(ids) == text for _, ids in found)
     words = [" " + "".join(rng.choice("abethnorsé") for _ in range(rng.randint(1, 20))) for _ in range(300)]
-    lattice.known = {}
-    lattice.learn(words)
+    lattice.forget()
+    lattice.learn(sorted(set(words)))
     for w in words:
         score, ids, loss = lattice.best_and_loss(w)
-        assert lattice.known[w] == (nbest_pieces.array("I", ids).tobytes(), score, loss)
+        at = lattice.index[w]
+        known = lattice.ids[lattice.start[at] : lattice.start[at] + lattice.size[at]]
+        assert (tuple(known), lattice.score[at], lattice.loss[at]) == (ids, score, loss)
 
 
 # 10

@@ -10,7 +10,7 @@ Ranks come from counts by (length, salt), so no length is sorted in one task.
 
 Defined results: null text is empty, that is, the separator only; a document
 longer than a bin is cut into whole bins and a rest; ties go by salt, id, piece
-and token ids; ids are binary, little-endian 32-bit integers; repeated rows are packed each; an empty table gives no rows; other
+and a hash of the token ids; ids are binary, little-endian 32-bit integers; repeated rows are packed each; an empty table gives no rows; other
 columns aren't read.
 """
 
@@ -21,7 +21,7 @@ import unicodedata
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidelake.llm.common import materialize, spread, table, worker_state
@@ -31,7 +31,7 @@ CAPACITY = 2048
 SEPARATOR = 0
 #: Pieces of one length that a task ranks, about.
 RANKED = 1 << 20
-#: Words that a worker's cache may hold, and the longest of them.
+#: Strings that each of a worker's caches may hold, and the longest of them.
 CACHE, LONGEST = 300_000, 64
 #: Plan runs that may be broadcast.
 PLAN_ROWS = 200_000
@@ -98,41 +98,49 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, in
     return runs
 
 
+#: The last code point that the word pattern knows; texts with one beyond it, lower-cased, go to the tokenizer whole.
+LAST = 0x24F
+
+
 def _word_pattern() -> tuple[re.Pattern, re.Pattern]:
-    """The vocabulary's word pattern for characters up to U+024F, and what is beyond."""
+    """The vocabulary's word pattern for characters up to ``LAST``, and what makes a text go to the tokenizer whole.
+
+    Python's ``split`` takes U+001C..U+001F for white space, and the vocabulary doesn't.
+    """
     def class_of(kinds: str) -> str:
-        return "".join(re.escape(chr(c)) for c in range(0x250) if unicodedata.category(chr(c))[0] in kinds)
+        return "".join(re.escape(chr(c)) for c in range(LAST + 1) if unicodedata.category(chr(c))[0] in kinds)
 
     letters, numbers, space = class_of("L"), class_of("N"), "\t\n\x0b\x0c\r \x85\xa0"
     words = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^{space}{letters}{numbers}]+")
-    return words, re.compile("[^\x00-ɏ]")
+    return words, re.compile(f"[^\x00-\x1b\x20-{chr(LAST)}]")
 
 
-class KnownWords(dict):
-    """Ids of words; words that aren't there are encoded, and kept within bounds."""
+class Known(dict):
+    """Ids of strings; those that aren't there are encoded, and kept within bounds."""
 
     def __init__(self, encode):
         self.encode = encode
 
-    def __missing__(self, word: str) -> bytes:
-        found = self.encode(word)
-        if len(word) <= LONGEST:
+    def __missing__(self, text: str) -> bytes:
+        found = self.encode(text)
+        if len(text) <= LONGEST:
             if len(self) >= CACHE:
                 self.clear()
-            self[word] = found
+            self[text] = found
         return found
 
 
 class WordEncoder:
-    """Token ids of texts, word by word through a bounded cache; equal to the tokenizer's own."""
+    """Token ids of texts through bounded caches of space-separated strings and of words; equal to the tokenizer's own."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.words, self.beyond = _word_pattern()
-        self.known = KnownWords(self.whole)
+        self.pattern, self.odd = _word_pattern()
+        self.words = Known(self.whole)
+        self.strings = Known(lambda s: b"".join(map(self.words.__getitem__, self.pattern.findall(s))))
 
     def whole(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -140,10 +148,10 @@ class WordEncoder:
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian 32-bit integers."""
-        odd = not text.isascii() and (self.beyond.search(text) or not unicodedata.is_normalized("NFC", text))
-        if odd or any(s in text for s in self.special):
+        low = text.lower()
+        if self.odd.search(low) or not (text.isascii() or unicodedata.is_normalized("NFC", text)) or any(s in text for s in self.special):
             return self.whole(text)
-        return b"".join(map(self.known.__getitem__, self.words.findall(text.lower())))
+        return b"".join(map(self.strings.__getitem__, low.split()))
 
 
 def vocabulary_path(name: str = MODEL) -> str:
@@ -191,7 +199,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     salted = pieces.withColumn("_salt", F.pmod("hash", F.lit(salts)).cast("int"))
     before = Window.partitionBy("length").orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)
     firsts = salted.groupBy("length", "_salt").agg(F.count("*").alias("_n")).withColumn("_first", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
-    own = Window.partitionBy("length", "_salt").orderBy("id", "piece", "ids")
+    own = Window.partitionBy("length", "_salt").orderBy("id", "piece", "hash")
     ranked = salted.withColumn("_own", F.row_number().over(own) - 1).join(firsts, ["length", "_salt"]).withColumn("_rank", F.col("_first") + F.col("_own"))
     runs = spark.createDataFrame(plan(counts, capacity), "length long, _from long, _to long, _bin long, _each long, _base long")
     found = ranked.join(F.broadcast(runs) if runs.count() <= PLAN_ROWS else runs, "length").where("_rank >= _from AND _rank < _to")
@@ -199,10 +207,12 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     return found.select(*pieces.columns, (F.col("_bin") + F.floor(place / F.col("_each"))).cast("long").alias("sequence_id"), (F.col("_base") + place % F.col("_each") * F.col("length")).cast("long").alias("offset"))
 
 
-def packed(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """Every document's pieces with their token ids, packed."""
-    pieces = materialize(token_pieces(docs, capacity=capacity).withColumn("hash", F.xxhash64("id", "piece", "ids")), "pieces")
-    return pack(pieces, capacity).withColumnRenamed("id", "doc_id").select("doc_id", "piece", "start", "length", "ids", "sequence_id", "offset")
+def packed(docs: DataFrame, capacity: int = CAPACITY, payload: Column | None = None) -> DataFrame:
+    """Every document's pieces, packed, with their token ids, or with ``payload`` computed of ``ids`` before anything is shuffled."""
+    pieces = token_pieces(docs, capacity=capacity).withColumn("hash", F.xxhash64("id", "piece", "ids"))
+    wanted = F.col("ids") if payload is None else payload
+    pieces = materialize(pieces.select("id", "piece", "start", "length", wanted, "hash"), "pieces")
+    return pack(pieces, capacity).withColumnRenamed("id", "doc_id").drop("hash")
 
 
 def sequences(pieces: DataFrame) -> DataFrame:
@@ -214,8 +224,13 @@ def sequences(pieces: DataFrame) -> DataFrame:
 
 def op10_bestfit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences; a checksum stands for each piece's ids."""
-    return packed(table(spark, sf_dir, "documents")).select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+    found = packed(table(spark, sf_dir, "documents"), payload=F.crc32("ids").alias("ids_crc32"))
+    return found.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
 def pack_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pipeline's product: every document's pieces with their token ids and their places in sequences.
+
+    Rows without an id or a text are packed like others; an empty table gives no rows.
+    """
     return packed(docs)

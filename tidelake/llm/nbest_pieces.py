@@ -21,14 +21,17 @@ besides the id and the text aren't read.
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import math
 import re
+import zlib
 from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
@@ -43,9 +46,11 @@ CACHE, LONGEST = 400_000, 64
 BYTE_SCORE, EACH = -14_000, 3_000
 #: Of the polynomial hash by which many words' pieces are found at once.
 MULTIPLIER = 0x9E3779B97F4A7C15
-NEVER = -(1 << 60)
-#: Bytes of ids that go out at once, about.
-BATCH = 4 << 20
+NEVER, NO_SECOND = -(1 << 60), 1 << 60
+#: Low bits of a hash by which most texts that are no piece are told.
+LOW = (1 << 18) - 1
+#: Characters of texts that are worked on at once, about; and bytes of ids that are decoded at once.
+CHARACTERS, BATCH = 1_000_000, 8 << 20
 SEGMENTS = "id long, text string, scores array<long>, ids array<binary>"
 #: Words, and single line ends and tabs: no piece has such a character, or a space after another one.
 CHUNK = re.compile(r" *[^ \t\n]+|[\t\n]| +")
@@ -61,17 +66,45 @@ class Lattice:
         if any(re.search(r"[\t\n]|[^ ] ", t) for t in pieces):
             raise ValueError("a piece goes over a word's end")
         self.bytes_of: dict[int, bytes] = {i: t.encode() for t, (i, _) in pieces.items()} | {i: bytes([b]) for b, i in enumerate(byte_ids)}
-        self.known: dict[str, tuple] = {}
+        self.forget()
         self.listed: dict[str, list] = {}
         by_length: dict[int, list] = {}
         for text, (id_, score) in pieces.items():
-            by_length.setdefault(len(text), []).append((self._hash(text), score, id_))
+            by_length.setdefault(len(text), []).append((self._hash(text), score, id_, text))
+        #: for each length: sorted hashes, scores, ids and characters of its pieces, and which low hash bits occur
         self.by_length = {}
         for size, rows in by_length.items():
             rows.sort()
-            self.by_length[size] = (np.array([r[0] for r in rows], np.uint64), np.array([r[1] for r in rows], np.int64), np.array([r[2] for r in rows], np.int64))
+            hashes = np.array([r[0] for r in rows], np.uint64)
+            codes = np.frombuffer("".join(r[3] for r in rows).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(-1, size)
+            there = np.zeros(LOW + 1, dtype=bool)
+            there[hashes & np.uint64(LOW)] = True
+            self.by_length[size] = (hashes, np.array([r[1] for r in rows], np.int64), np.array([r[2] for r in rows], np.int64), codes, there)
         hashes = [r[0] for rows in by_length.values() for r in rows]
         self.lockstep_works = len(set(hashes)) == len(hashes)
+        # all ids' bytes in one array, for decoding many ids at once
+        top = max(self.bytes_of, default=0) + 1
+        self.piece_bytes = np.frombuffer(b"".join(self.bytes_of.get(i, b"") for i in range(top)) or b" ", np.uint8)
+        self.piece_size = np.array([len(self.bytes_of.get(i, b"")) for i in range(top)], np.int64)
+        self.piece_start = np.cumsum(self.piece_size) - self.piece_size
+
+    def forget(self) -> None:
+        """Empty the cache of words: where each word's ids lie in one array, its score, and its loss."""
+        self.index: dict[str, int] = {}
+        self.ids, self.used = np.zeros(4096, "<u4"), 0
+        self.start, self.size, self.score, self.loss = (np.zeros(1024, np.int64) for _ in range(4))
+
+    def _add(self, words: list[str], ids: np.ndarray, sizes, scores, losses) -> None:
+        first, last = len(self.index), len(self.index) + len(words)
+        while last > len(self.score):
+            self.start, self.size, self.score, self.loss = (np.concatenate([x, x]) for x in (self.start, self.size, self.score, self.loss))
+        while self.used + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids, self.ids])
+        self.ids[self.used : self.used + len(ids)] = ids
+        self.size[first:last], self.score[first:last], self.loss[first:last] = sizes, scores, losses
+        self.start[first:last] = self.used + np.cumsum(self.size[first:last]) - self.size[first:last]
+        self.used += len(ids)
+        self.index.update(zip(words, range(first, last)))
 
     @staticmethod
     def _hash(text: str) -> int:
@@ -145,7 +178,7 @@ class Lattice:
                     value = best[edge[0]] + edge[1] + after
                     if (second is None or value > second) and id(edge) not in on_path:
                         second = value
-        return best[size], tuple(x for part in reversed(ids) for x in part), (1 << 60 if second is None else best[size] - second)
+        return best[size], tuple(x for part in reversed(ids) for x in part), (NO_SECOND if second is None else best[size] - second)
 
     def n_best(self, text: str, n: int | None = None) -> list[tuple[int, tuple[int, ...]]]:
         """(score, ids) of the best segmentations, best first."""
@@ -172,12 +205,19 @@ class Lattice:
         return out
 
     def learn(self, words: list[str]) -> None:
-        """Put the words' best segmentations and losses into the cache, many words a step."""
-        if len(self.known) + len(words) > CACHE:
-            self.known.clear()
-        words = sorted({w for w in words if len(w) <= LONGEST}, key=len)
-        for i in range(0, len(words), 8192):
-            self._lockstep(words[i : i + 8192])
+        """Put the distinct words' best segmentations and losses into the cache, many words a step."""
+        new = [w for w in words if w not in self.index]
+        if len(self.index) + len(new) > CACHE:
+            self.forget()
+            new = words
+        if self.lockstep_works:
+            short = sorted((w for w in new if len(w) <= LONGEST), key=len)
+            for i in range(0, len(short), 8192):
+                self._lockstep(short[i : i + 8192])
+        for w in new:
+            if w not in self.index:
+                score, ids, loss = self.best_and_loss(w)
+                self._add([w], np.array(ids, "<u4"), len(ids), score, loss)
 
     def _lockstep(self, words: list[str]) -> None:
         n = len(words)
@@ -197,11 +237,15 @@ class Lattice:
             power = power * MULTIPLIER & 0xFFFFFFFFFFFFFFFF
             if width not in self.by_length:
                 continue
-            table, values, id_of = self.by_length[width]
+            table, values, id_of, letters, low = self.by_length[width]
             h = prefix[width:] - prefix[:-width] * np.uint64(power)
-            at = np.minimum(np.searchsorted(table, h.reshape(-1)).reshape(h.shape), len(table) - 1)
-            there = (table[at] == h) & (np.arange(width, size + 1)[:, None] <= lens)
-            scores[width], ids[width] = np.where(there, values[at], NEVER), id_of[at]
+            at, word = np.nonzero(low[h & np.uint64(LOW)] & (np.arange(width, size + 1)[:, None] <= lens))
+            place = np.minimum(np.searchsorted(table, h[at, word]), len(table) - 1)
+            same = (letters[place] == codes[at[:, None] + np.arange(width), word[:, None]]).all(axis=1)
+            at, word, place = at[same], word[same], place[same]
+            scores[width], ids[width] = np.full(h.shape, NEVER), np.zeros(h.shape, np.int64)
+            scores[width][at, word], ids[width][at, word] = values[place], id_of[place]
+            there = scores[width] != NEVER
             if width == 1:
                 plain = (there | (np.arange(size)[:, None] >= lens)).all(axis=0)
         best, back = np.full((size + 1, n), NEVER), np.zeros((size + 1, n), dtype=np.int64)
@@ -236,27 +280,10 @@ class Lattice:
             at[live] -= width
         for w in widths:
             np.maximum(second, through[w].max(axis=0), out=second)
-        loss = np.where(second > NEVER // 2, total - second, 1 << 60)
+        loss = np.where(second > NEVER // 2, total - second, NO_SECOND)
         chain = np.array(steps[::-1]).T if steps else np.zeros((n, 0), dtype=np.int64)
-        raw = chain[chain >= 0].astype("<u4").tobytes()
-        ends = 4 * np.cumsum((chain >= 0).sum(axis=1))
-        begin = 0
-        for w, ok, end, t, lost in zip(words, plain.tolist(), ends.tolist(), total.tolist(), loss.tolist()):
-            if ok:
-                self.known[w] = (raw[begin:end], t, lost)
-            begin = end
-
-    def word(self, text: str) -> tuple[bytes, int, int]:
-        """(ids as little-endian bytes, score, loss of the second choice) of a word."""
-        found = self.known.get(text)
-        if found is None:
-            score, ids, loss = self.best_and_loss(text)
-            found = (array("I", ids).tobytes(), score, loss)
-            if len(text) <= LONGEST:
-                if len(self.known) >= CACHE:
-                    self.known.clear()
-                self.known[text] = found
-        return found
+        sizes, good = (chain >= 0).sum(axis=1), np.flatnonzero(plain)  # words with a byte piece have no chain
+        self._add([words[i] for i in good], chain[chain >= 0], sizes[good], total[good], loss[good])
 
     def choices_of(self, text: str) -> list[tuple[int, tuple[int, ...]]]:
         """``n_best`` of a word, through a cache of its own."""
@@ -269,52 +296,63 @@ class Lattice:
                 self.listed[text] = found
         return found
 
-    def encode(self, text: str, chunks: list[str] | None = None) -> tuple[bytes, list[tuple[int, dict[int, tuple[int, ...]]]]]:
-        """The best ids as little-endian 32-bit integers; and each of the N best as (score, {word: its ids where they aren't the best's})."""
-        if not text:
-            return b"", [(0, {})]
-        chunks = CHUNK.findall(" " + text) if chunks is None else chunks
-        get, word = self.known.get, self.word
-        words = [get(c) or word(c) for c in chunks]
-        return b"".join([w[0] for w in words]), self.mixes(words, chunks)
-
-    def mixes(self, words: list[tuple[bytes, int, int]], chunks: list[str]) -> list[tuple[int, dict[int, tuple[int, ...]]]]:
-        """Each of the N best of a text as (score, {word: its ids where they aren't the best's})."""
-        total = sum([w[1] for w in words])
-        open_ = heapq.nsmallest(self.n - 1, [(w[2], i) for i, w in enumerate(words) if w[2] < 1 << 60])
+    def mixes(self, scores: np.ndarray, losses: np.ndarray, chunks: list[str]) -> list[tuple[int, list[tuple[int, tuple[int, ...]]]]]:
+        """Each of the N best of a text as (score, [(word, its ids)] where they aren't the best's)."""
+        total, n = int(scores.sum()), self.n - 1
+        least = np.partition(losses, n - 1)[n - 1] if 0 < n < len(losses) else NO_SECOND
+        open_ = sorted((lost, i) for i in np.flatnonzero(losses <= least).tolist() if (lost := int(losses[i])) < NO_SECOND)[:n]
         choices = {i: self.choices_of(chunks[i]) for _, i in open_}
         # word by word, the N best mixes so far with each of the word's choices
         mixes: list[tuple[int, tuple]] = [(0, ())]
         for _, i in open_:
             first = choices[i][0][0]
             mixes = sorted([(lost + first - found[0], (*changed, (i, c)) if c else changed) for lost, changed in mixes for c, found in enumerate(choices[i])])[: self.n]
-        return [(total - lost, {i: choices[i][c][1] for i, c in changed}) for lost, changed in mixes]
-
-    def encode_whole(self, text: str, chunks: list[str] | None = None) -> list[tuple[int, bytes]]:
-        """(score, ids as little-endian 32-bit integers) of the N best segmentations of a whole text."""
-        if not text:
-            return [(0, b"")]
-        chunks = CHUNK.findall(" " + text) if chunks is None else chunks
-        get, word = self.known.get, self.word
-        words = [get(c) or word(c) for c in chunks]
-        parts, out = [w[0] for w in words], []
-        for score, changed in self.mixes(words, chunks):
-            own = parts
-            if changed:
-                own = parts.copy()
-                for i, ids in changed.items():
-                    own[i] = array("I", ids).tobytes()
-            out.append((score, b"".join(own)))
+        return [(total - lost, sorted((i, choices[i][c][1]) for i, c in changed)) for lost, changed in mixes]
+
+    def encode_many(self, texts: list[str]) -> list[list[tuple[int, bytes]]]:
+        """(score, ids as little-endian 32-bit integers) of the N best segmentations of each text."""
+        cut = [CHUNK.findall(" " + t) if t else [] for t in texts]
+        words = pa.array([c for chunks in cut for c in chunks], pa.string()).dictionary_encode()
+        distinct = words.dictionary.to_numpy(zero_copy_only=False).tolist()  # faster than to_pylist
+        self.learn(distinct)
+        at = np.array([self.index[w] for w in distinct], np.int64)[words.indices.to_numpy()] if distinct else np.zeros(0, np.int64)
+        size = self.size[at]
+        after = np.cumsum(size)
+        ids = self.ids[np.repeat(self.start[at] - (after - size), size) + np.arange(int(size.sum()))]
+        raw, after = ids.tobytes(), np.r_[0, after]
+        out, word = [], 0
+        for chunks in cut:
+            if not chunks:
+                out.append([(0, b"")])
+                continue
+            own = slice(word, word + len(chunks))
+            begin, end, rows = int(after[word]), int(after[own.stop]), []
+            for score, changed in self.mixes(self.score[at[own]], self.loss[at[own]], chunks):
+                done, parts = begin, []
+                for i, other in changed:
+                    parts += [raw[4 * done : 4 * int(after[word + i])], array("I", other).tobytes()]
+                    done = int(after[word + i + 1])
+                parts.append(raw[4 * done : 4 * end])
+                rows.append((score, b"".join(parts)))
+            out.append(rows)
+            word = own.stop
         return out
 
     def encode_n_best(self, text: str) -> list[tuple[int, tuple[int, ...]]]:
         """(score, ids) of the N best segmentations of a whole text."""
-        words = [tuple(memoryview(self.word(c)[0]).cast("I")) for c in CHUNK.findall(" " + text)] if text else []
-        return [(score, tuple(x for i, w in enumerate(words) for x in other.get(i, w))) for score, other in self.encode(text)[1]]
-
-    def decoded(self, raw: bytes) -> bytes:
-        """The UTF-8 text of little-endian 32-bit ids."""
-        return b"".join(map(self.bytes_of.__getitem__, memoryview(raw).cast("I")))[1:]
+        return [(score, tuple(memoryview(raw).cast("I"))) for score, raw in self.encode_many([text])[0]]
+
+    def decoded(self, ids: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """UTF-8 bytes, and where each ends, of many segmentations of ``sizes`` ids each, without the spaces put before them."""
+        size, start = self.piece_size[ids], self.piece_start[ids]
+        first = (np.cumsum(sizes) - sizes)[sizes > 0]
+        size[first] -= 1
+        start[first] += 1
+        after = np.cumsum(size)
+        where = np.repeat(start - (after - size), size)
+        where += np.arange(len(where))
+        ends = np.r_[0, after][np.cumsum(sizes)]
+        return self.piece_bytes[where], ends
 
     def decode(self, ids) -> str:
         """The text of ids, without the space put before it."""
@@ -349,31 +387,19 @@ def texts_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 def segmenter(path: str | None = None, n: int = N_BEST) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """``segment`` on batches of (id, text)."""
 
-    def batch_of(part: pa.RecordBatch, rows: list[list[tuple[int, bytes]]]) -> pa.RecordBatch:
-        scores, ids = pa.array([[s for s, _ in r] for r in rows], pa.list_(pa.int64())), pa.array([[b for _, b in r] for r in rows], pa.list_(pa.binary()))
-        return pa.RecordBatch.from_arrays([*part.columns, scores, ids], ["id", "text", "scores", "ids"])
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice = lattice_of(path, n)
         for batch in batches:
-            rows, held, texts, waiting, cut = [], 0, [v.as_py() or "" for v in batch.column(1)], 0, {}
-            for i, text in enumerate(texts):
-                if i >= waiting:  # the next million characters' new words
-                    new, used = set(), 0
-                    while waiting < len(texts) and (used < 1_000_000 or waiting == i):
-                        cut[waiting] = CHUNK.findall(" " + texts[waiting])
-                        new.update(cut[waiting])
-                        used += len(texts[waiting])
-                        waiting += 1
-                    if lattice.lockstep_works:
-                        lattice.learn([w for w in new if w not in lattice.known])
-                rows.append(lattice.encode_whole(text, cut.pop(i)))
-                held += sum(len(b) for _, b in rows[-1])
-                if held >= BATCH:
-                    yield batch_of(batch.slice(i + 1 - len(rows), len(rows)), rows)
-                    rows, held = [], 0
-            if rows:
-                yield batch_of(batch.slice(len(texts) - len(rows)), rows)
+            texts, start = [v.as_py() or "" for v in batch.column(1)], 0
+            while start < len(texts):
+                stop, used = start, 0
+                while stop < len(texts) and used < CHARACTERS:
+                    used += len(texts[stop])
+                    stop += 1
+                rows, part = lattice.encode_many(texts[start:stop]), batch.slice(start, stop - start)
+                scores, ids = pa.array([[s for s, _ in r] for r in rows], pa.list_(pa.int64())), pa.array([[b for _, b in r] for r in rows], pa.list_(pa.binary()))
+                yield pa.RecordBatch.from_arrays([*part.columns, scores, ids], ["id", "text", "scores", "ids"])
+                start = stop
 
     return run
 
@@ -388,28 +414,45 @@ def decoder(ids_col: str = "ids", path: str | None = None) -> Callable[[Iterator
     """``decode`` on batches."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        text_of = lattice_of(path, N_BEST).decoded
+        lattice = lattice_of(path, N_BEST)
         for batch in batches:
-            column, start, held, texts = batch.column(ids_col), 0, 0, []
+            column, start, held = batch.column(batch.schema.get_field_index(ids_col)), 0, 0
             for i, each in enumerate(column):
-                found = each.as_py()
-                texts.append(None if found is None else [text_of(b) for b in found])
-                held += sum(map(len, found or ()))
+                held += sum(len(b.as_buffer()) for b in each.values) if each.is_valid else 0
                 if held >= BATCH or i + 1 == len(column):
-                    part = batch.slice(start, len(texts))
-                    yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.list_(pa.string()))], [*part.schema.names, "decoded"])
-                    start, held, texts = i + 1, 0, []
+                    part = batch.slice(start, i + 1 - start)
+                    yield pa.RecordBatch.from_arrays([*part.columns, texts_back(lattice, column.slice(start, i + 1 - start))], [*part.schema.names, "decoded"])
+                    start, held = i + 1, 0
 
     return run
 
 
+def texts_back(lattice: Lattice, column: pa.ListArray) -> pa.ListArray:
+    """The texts of a column of lists of segmentations; null lists stay null."""
+    flat = column.flatten()
+    raw = [b.as_py() for b in flat]
+    data, ends = lattice.decoded(np.frombuffer(b"".join(raw), "<u4"), np.array([len(b) // 4 for b in raw], np.int64))
+    texts = pa.StringArray.from_buffers(len(raw), pa.py_buffer(np.r_[0, ends].astype(np.int32)), pa.py_buffer(data))
+    sizes = [0 if n is None else n for n in pc.list_value_length(column).to_pylist()]
+    offsets = np.r_[0, np.cumsum(np.array(sizes, np.int64))].astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), texts, mask=column.is_null())
+
+
+def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts and checksums of segmentations and of their decoded texts."""
+    for batch in batches:
+        rows = []
+        for text, scores, ids, back in zip(*(batch.column(k) for k in range(1, 5))):
+            raw, whole = [b.as_buffer() for b in ids.values], text.as_buffer() if text.is_valid else pa.py_buffer(b"")
+            texts = [t.as_buffer() for t in back.values]
+            crcs = [zlib.crc32(b) for b in raw]
+            rows.append((raw[0].size // 4, crcs[0], ",".join(map(str, scores.as_py())), ",".join(map(str, crcs)), hashlib.sha256(texts[0]).hexdigest(), all(t.equals(whole) for t in texts)))
+        columns = [batch.column(0), *(pa.array(list(c), t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.bool_())))]
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_pieces", "ids_crc32", "n_best_scores", "n_best_crc32", "decoded_sha256", "exact"])
+
+
 def op9_nbest_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The N best segmentations of every document, decoded again; checksums stand for ids and texts."""
+    """The N best segmentations of every document, decoded again; checksums stand for ids (little-endian, 32 bits) and texts."""
     encode_batches, decode_batches = segmenter(), decoder()  # in one worker, which holds one lattice
-    found = texts_of(table(spark, sf_dir, "documents")).mapInArrow(lambda batches: decode_batches(encode_batches(batches)), SEGMENTS + ", decoded array<string>")
-    crcs = F.transform("ids", lambda b: F.crc32(b).cast("string"))
-    return found.select(
-        F.col("id").alias("doc_id"), (F.octet_length(F.col("ids")[0]) / 4).cast("long").alias("n_pieces"), F.crc32(F.col("ids")[0]).alias("ids_crc32"),
-        F.array_join(F.transform("scores", lambda s: s.cast("string")), ",").alias("n_best_scores"), F.array_join(crcs, ",").alias("n_best_crc32"),
-        F.sha2(F.col("decoded")[0].cast("binary"), 256).alias("decoded_sha256"), F.forall("decoded", lambda t: t == F.coalesce("text", F.lit(""))).alias("exact"),
-    )
+    schema = "doc_id long, n_pieces long, ids_crc32 long, n_best_scores string, n_best_crc32 string, decoded_sha256 string, exact boolean"
+    return texts_of(table(spark, sf_dir, "documents")).mapInArrow(lambda batches: digests(decode_batches(encode_batches(batches))), schema)
