@@ -212,6 +212,63 @@ def test_added_kinds(spark, odd):
     assert [text[int(a) : int(b)] for _, a, b in (s.split(":") for s in spans[11].split(",") if s.startswith("random"))] == ["Zx9vQ2kLr8TmW4pYb7Nc1Hd6Js"]
 
 
+def plain_redaction(text, listed):
+    out, at = "", 0
+    for kind, a, b in sorted((x.split(":") for x in listed.split(",") if x), key=lambda x: int(x[1])):
+        if int(a) >= at:
+            out += text[at : int(a)] + f"[{kind.upper()}]"
+        at = max(at, int(b))
+    return out + text[at:]
+
+
+def test_many_matches_take_linear_time(spark):
+    """Megabytes with tens of thousands of matches, against the plain versions."""
+    import time
+
+    texts = [
+        " ".join(f"u{i}@d{i % 7}.org" for i in range(60_000)), "é\n+1 (202) 555-0143, 10.0.0.1; 4111 1111 1111 1111 😀 " * 20_000,
+        " ".join(f"token={'0f' * 13}{i}" for i in range(30_000)) + " " + " ".join(f"Zx9vQ2kLr8TmW4pYb7Nc1Hd6Js{i} AKIAABCDEFGHIJKLMN{i % 10}P" for i in range(20_000)),
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), SCHEMA).repartition(3).cache()
+    model = secrets_markov.train(secrets_markov.default_samples(spark, 300))
+    docs.count()
+    began = time.monotonic()
+    found = pii.with_spans(docs).select("doc_id", pii.listed(pii.F.col("_pii_base")).alias("spans"), pii.redacted(pii.F.col("text"), pii.F.col("_pii_base")).alias("out")).collect()
+    secret = secrets_markov.with_spans(docs, model).select("doc_id", secrets_markov.listed(pii.F.col("_secret_base")).alias("spans"), secrets_markov.listed(pii.F.col("_secret_more")).alias("more")).collect()
+    took = time.monotonic() - began
+    for r in found:
+        assert r["spans"] == ",".join(plain_pii(texts[r["doc_id"]])) and r["out"] == plain_redaction(texts[r["doc_id"]], r["spans"])
+    for r in secret:
+        assert r["spans"] == ",".join(plain_secrets(texts[r["doc_id"]]))
+    alone = plain_random(" ".join(f"Zx9vQ2kLr8TmW4pYb7Nc1Hd6Js{i}" for i in range(20_000)), [], model)
+    assert {r["doc_id"]: len(r["more"].split(",")) for r in secret if r["more"]} == {2: len(alone)}
+    assert took < 60, took
+
+
+def test_ibans(spark):
+    good = ["BE68 5390 0754 7034", "AT61 1904 3002 3457 3201", "gb82west12345698765432", "NO93 8601 1117 947"]
+    docs = spark.createDataFrame([(i, f"iban {g} {tail}") for i, g in enumerate(good) for tail in ("IN full", "2024", "", "A1B2 C3")] + [(9, "iban BE68 5390 0754 7035"), (9, "iban XX68 5390 0754 7034")], SCHEMA)
+    rows = pii.with_spans(docs).selectExpr("doc_id", "transform(_pii_more, s -> s.value) AS v").collect()
+    assert len(rows) == 18 and all(r["v"] == ([good[r["doc_id"]]] if r["doc_id"] < 9 else []) for r in rows)
+
+
+def plain_random(text, base, model):
+    """Tokens outside base spans whose transitions are likelier in random strings."""
+    size, out = len(secrets_markov.ALPHABET), []
+    for m in re.finditer("(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}", text):
+        steps = [model[secrets_markov.ALPHABET.index(a) * size + secrets_markov.ALPHABET.index(b)] for a, b in zip(m[0], m[0][1:])]
+        if sum(steps) / len(steps) > secrets_markov.THRESHOLD and not any(int(a) < m.end() and m.start() < int(b) for _, a, b in (x.split(":") for x in base)):
+            out.append(f"random:{m.start()}:{m.end()}")
+    return out
+
+
+def test_random_spans(spark, odd):
+    model = secrets_markov.train(secrets_markov.default_samples(spark))
+    for rows, docs in both(spark, odd, secrets_markov.op4_secret_markov):
+        expected = Counter((i, *plain_random(t, plain_secrets(t), model)) for i, t in docs)
+        assert expected == Counter((r["doc_id"], *(x for x in r["spans"].split(",") if x.startswith("random"))) for r in rows)
+
+
 def test_context_adjusts_the_score(spark):
     df = spark.createDataFrame([(1, "ssn 123-45-6789"), (2, "part 123-45-6789")], SCHEMA)
     rows = pii.with_spans(df).selectExpr("doc_id", "size(_pii_more) AS n").collect()

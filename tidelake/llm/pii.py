@@ -9,6 +9,7 @@ character run, and runs are possessive.
 
 Defined results: null text is empty and has no spans; every kind's matches are
 leftmost and don't overlap within the kind, and kinds may overlap each other;
+texts of any length take time in proportion to their length and matches;
 repeated rows each get their spans; an empty table gives no rows; columns besides
 the id and the text aren't read.
 """
@@ -19,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelake.llm.common import table
-from tidelake.llm.spans import count_of, listed, spans
+from tidelake.llm.spans import count_of, listed, replaced, spans
 
 EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]++)++"
 IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
@@ -27,7 +28,18 @@ PHONE = r"\+[0-9][ ().0-9-]+[0-9]"
 #: Stands for one separator between two digits while cards are looked for.
 MARK, SPARE = "\ue000", "\ue001"
 CARD = f"[0-9][0-9{MARK}]{{11,}}+"
-IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
+#: The length of each country's IBANs, by ISO 13616.
+IBAN_LENGTHS = {
+    "AD": 24, "AE": 23, "AL": 28, "AT": 20, "AZ": 28, "BA": 20, "BE": 16, "BG": 22, "BH": 22, "BI": 27, "BR": 29, "BY": 28, "CH": 21, "CR": 22, "CY": 28,
+    "CZ": 24, "DE": 22, "DJ": 27, "DK": 18, "DO": 28, "EE": 20, "EG": 29, "ES": 24, "FI": 18, "FK": 18, "FO": 18, "FR": 27, "GB": 22, "GE": 22, "GI": 23,
+    "GL": 18, "GR": 27, "GT": 28, "HN": 28, "HR": 21, "HU": 28, "IE": 22, "IL": 23, "IQ": 23, "IS": 26, "IT": 27, "JO": 30, "KW": 30, "KZ": 20, "LB": 28,
+    "LC": 32, "LI": 21, "LT": 20, "LU": 20, "LV": 21, "LY": 25, "MC": 27, "MD": 24, "ME": 22, "MK": 19, "MN": 20, "MR": 27, "MT": 31, "MU": 30, "NI": 28,
+    "NL": 18, "NO": 15, "OM": 23, "PK": 24, "PL": 28, "PS": 29, "PT": 25, "QA": 29, "RO": 24, "RS": 22, "RU": 33, "SA": 24, "SC": 31, "SD": 18, "SE": 24,
+    "SI": 19, "SK": 24, "SM": 27, "SO": 23, "ST": 25, "SV": 28, "TL": 23, "TN": 24, "TR": 26, "UA": 29, "VA": 22, "VG": 24, "XK": 20, "YE": 30,
+}
+_OF_LENGTH = {n: "|".join(c for c, k in IBAN_LENGTHS.items() if k == n) for n in sorted(set(IBAN_LENGTHS.values()))}
+#: Either case, single spaces anywhere; a country's length bounds the match, so words after it aren't taken in.
+IBAN = "(?i)(?<![A-Z0-9])(?:" + "|".join(f"(?:{c})[0-9]{{2}}(?: ?[A-Z0-9]){{{n - 4}}}" for n, c in _OF_LENGTH.items()) + ")(?![A-Z0-9])"
 IDENTITY = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 
 BASE = ("email", "ip", "card", "phone")
@@ -59,8 +71,8 @@ def luhn_valid(value: Column) -> Column:
 
 
 def mod97_valid(value: Column) -> Column:
-    """15 to 34 characters whose rearranged number leaves 1 modulo 97."""
-    plain = F.translate(value, " ", "")
+    """15 to 34 letters (either case) and digits whose rearranged number leaves 1 modulo 97."""
+    plain = F.upper(F.translate(value, " ", ""))
     turned = F.concat(F.substring(plain, 5, 34), F.left(plain, F.lit(4)))
     step = lambda acc, c: F.when(c >= "A", acc * 100 + F.ascii(c) - 55).otherwise(acc * 10 + F.ascii(c) - 48) % 97
     return F.length(plain).between(15, 34) & (F.aggregate(F.split(turned, ""), F.lit(0), step) == 1)
@@ -83,7 +95,7 @@ def with_spans(docs: DataFrame, text_col: str = "text", into: str = "_pii") -> D
         f"{into}_ip": F.filter(spans(text, IP, "ip", 1, text.rlike(r"[0-9]\.[0-9]++\.[0-9]")), lambda s: ip_valid(s["value"])),
         f"{into}_card": F.filter(spans(marked, CARD, "card", 2, text.rlike("[0-9](?:[ -]?[0-9]){11}")), lambda s: luhn_valid(s["value"])),
         f"{into}_phone": F.filter(spans(text, PHONE, "phone", 3, text.contains("+")), lambda s: F.length(digits_of(s["value"])).between(9, 15)),
-        f"{into}_iban": F.filter(spans(text, IBAN, "iban", 4, text.rlike("[A-Z]{2}[0-9]{2}")), lambda s: mod97_valid(s["value"]) & (scored(s) >= LEAST)),
+        f"{into}_iban": F.filter(spans(text, IBAN, "iban", 4, text.rlike("[A-Za-z]{2}[0-9]{2}")), lambda s: mod97_valid(s["value"]) & (scored(s) >= LEAST)),
         f"{into}_identity": F.filter(spans(text, IDENTITY, "identity", 5, text.rlike("[0-9]{3}-[0-9]{2}-[0-9]{4}")), lambda s: scored(s) >= LEAST),
     })
     base = F.array_sort(F.concat(*(F.col(f"{into}_{k}") for k in BASE)))
@@ -93,16 +105,7 @@ def with_spans(docs: DataFrame, text_col: str = "text", into: str = "_pii") -> D
 
 def redacted(text: Column, found: Column) -> Column:
     """``text`` with every span replaced by its kind in brackets; overlapping spans give one replacement."""
-
-    def step(acc: Column, s: Column) -> Column:
-        new = s["start"] >= acc["at"]
-        grown = F.array_append(F.array_append(acc["parts"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"])), F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")))
-        return F.struct(F.greatest(acc["at"], s["stop"]).alias("at"), F.when(new, grown).otherwise(acc["parts"]).alias("parts")).cast(kind)
-
-    kind = "struct<at:int,parts:array<string>>"
-    first = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts")).cast(kind)
-    whole = F.aggregate(found, first, step, lambda acc: F.array_join(F.array_append(acc["parts"], F.substring(text, acc["at"] + 1, F.length(text))), ""))
-    return F.when(F.size(found) > 0, whole).otherwise(text)
+    return replaced(text, found, lambda s: F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")))
 
 
 def op3_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelake.llm.common import table
-from tidelake.llm.spans import count_of, listed, spans
+from tidelake.llm.spans import apart, count_of, listed, spans
 
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']? *+[:=] *+["']?[A-Za-z0-9+/_.=-]+"""
 ASSIGN_HEAD = r"""^(?i:password|passwd|secret|token|api_?key)["']? *+[:=] *+["']?"""
@@ -108,8 +108,7 @@ def with_spans(docs: DataFrame, model: list[int], text_col: str = "text", into:
     })
     base = F.array_sort(F.concat(*(F.col(f"{into}_{k}") for k in BASE)))
     found = found.withColumn(f"{into}_base", base)
-    free = lambda s: ~F.exists(F.col(f"{into}_base"), lambda b: (b["start"] < s["stop"]) & (s["start"] < b["stop"]))
-    random = F.filter(F.filter(F.col(f"{into}_token"), free), lambda s: likelihood_ratio(s["value"], model) > THRESHOLD)
+    random = F.filter(apart(F.col(f"{into}_token"), F.col(f"{into}_base")), lambda s: likelihood_ratio(s["value"], model) > THRESHOLD)
     return found.withColumn(f"{into}_more", random).drop(*(f"{into}_{k}" for k in (*BASE, "token")))
 
 
