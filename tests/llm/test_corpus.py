@@ -156,6 +156,34 @@ def test_bk_search_is_whole():
         assert len(set(zip(found.tolist(), plain))) == len(set(found.tolist())) == len(set(plain))
 
 
+def test_large_shards_are_split_without_loss(spark):
+    """Random fingerprints around centres, with every shard of two or more dealt out further, against all pairs."""
+    import random
+
+    rng, values = random.Random(4), set()
+    for _ in range(12):
+        centre = rng.getrandbits(64)
+        values |= {centre ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, 6))) for _ in range(40)}
+    values = sorted(v - (1 << 64) if v >> 63 else v for v in values)
+    fps = spark.createDataFrame([(v,) for v in values], "fp bigint")
+    plain = plain_components([v % (1 << 64) for v in values])
+    for split, sampled in ((1, 1), (1 << 16, 64)):
+        root = {r["a"]: r["b"] for r in simhash_bk.connected(simhash_bk.links_within(fps, split, sampled)).collect()}
+        found = [root.get(v, v) for v in values]
+        assert len(set(zip(found, plain))) == len(set(found)) == len(set(plain)) < len(values)
+
+
+def test_frequent_keys_are_looked_up_alike(spark, monkeypatch):
+    from tidelake.llm import common
+
+    rows = spark.createDataFrame([(i % 7 if i % 3 else 1, i) for i in range(90)] + [(None, 5)], "a bigint, v bigint")
+    found = rows.groupBy("a").agg(pii.F.max("v").alias("top"), pii.F.count("*").alias("n"))
+    expected = Counter(map(tuple, rows.join(found.drop("n"), "a").select("a", "v", "top").collect()))
+    for limit in (1, 20, 1000):
+        monkeypatch.setattr(common, "HOT_ROWS", limit)
+        assert Counter(map(tuple, common.lookup(rows, found, "a", 91).select("a", "v", "top").collect())) == expected
+
+
 def test_connected_chain(spark):
     pairs = [(i, i + 1) for i in range(60)] + [(100, 200), (200, 300), (7, 7)]
     found = {r["a"]: r["b"] for r in simhash_bk.connected(spark.createDataFrame(pairs, "a bigint, b bigint")).collect()}

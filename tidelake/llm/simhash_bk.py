@@ -8,7 +8,8 @@ BK-tree (children keyed by their integer Hamming distance to the parent) that
 is shipped to the task of its key; a search follows only the edges within the
 radius.  Copies count once: a shard holds distinct fingerprints.  A shard gives
 back a star of links per local component, never all pairs, and the stars are
-joined by alternating large-star and small-star steps.
+joined by alternating large-star and small-star steps.  Large shards are dealt
+out by further bits, and rows of large components are never brought together.
 
 Defined results: null text is empty; a text without words has fingerprint zero,
 linked like any other; repeated rows share a fingerprint; an empty table gives
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelake.llm.common import materialize, spread, table
+from tidelake.llm.common import HOT_KEYS, discard, lookup, materialize, spread, table, written
 
 RADIUS = 4
 SHINGLE = 4
@@ -36,6 +37,8 @@ BANDS = ((0, 11), (11, 11), (22, 11), (33, 11), (44, 10), (54, 10))
 LARGE = 1024
 #: Pairs that a step of the search may hold.
 PAIRS = 2_000_000
+#: Shards above about this many fingerprints are dealt out further; one fingerprint in so many tells which.
+SPLIT, SAMPLED = 1 << 16, 64
 
 
 def fingerprint(text: bytes, size: int = SHINGLE) -> int:
@@ -229,28 +232,61 @@ def shard_keys(fp):
     return F.array(*keys)
 
 
-def links_within(fps: DataFrame) -> DataFrame:
-    """Star links (a, b), a != b, of the distinct fingerprints in column ``fp``."""
+def rest_bits(fp, pair):
+    """The 42 to 44 bits of a fingerprint outside the two bands of a pair (8 * i + j)."""
+    def without(i: int, j: int):
+        out, at = F.lit(0).cast("long"), 0
+        for k, (s, w) in enumerate(BANDS):
+            if k not in (i, j):
+                out = out.bitwiseOR(F.shiftleft(F.shiftrightunsigned(fp, s).bitwiseAND(F.lit((1 << w) - 1)), at))
+                at += w
+        return out
+
+    found = F.lit(0).cast("long")
+    for i in range(len(BANDS)):
+        for j in range(i):
+            found = F.when(pair == i * 8 + j, without(i, j)).otherwise(found)
+    return found
+
+
+def links_within(fps: DataFrame, split: int = SPLIT, sampled: int = SAMPLED) -> DataFrame:
+    """Star links (a, b), a != b, of the distinct fingerprints in column ``fp``.
+
+    A shard of more than about ``split`` fingerprints is dealt out by five parts of
+    its other bits: two fingerprints within four bits agree on one part at least.
+    Which shards are large is told by one fingerprint in ``sampled``; that changes where links are found, not which.
+    """
     entries = fps.select(F.explode(shard_keys(F.col("fp"))).alias("key"), "fp")
+    few = entries.where(F.pmod(F.xxhash64("fp"), F.lit(sampled)) == 0).groupBy("key").count()
+    large = max(split // sampled, 15 * fps.count() // sampled // HOT_KEYS, 1)  # so that at most HOT_KEYS shards are
+    hot = materialize(few.where(F.col("count") > large).select("key"), "shards")
+    if hot.count():
+        rest = rest_bits(F.col("fp"), F.shiftright("key", 24))
+        part = lambda k: F.xxhash64("key", F.lit(k), F.shiftrightunsigned(F.col("rest"), 9 * k).bitwiseAND(F.lit(511)))
+        parts = entries.join(F.broadcast(hot), "key", "left_semi").withColumn("rest", rest).select(F.explode(F.array(*map(part, range(RADIUS + 1)))).alias("key"), "fp")
+        entries = entries.join(F.broadcast(hot), "key", "left_anti").union(parts)
     return entries.repartition("key").sortWithinPartitions("key", "fp").mapInArrow(_stars, "a long, b long").distinct()
 
 
 def connected(links: DataFrame) -> DataFrame:
     """(a, b): b is the smallest member of a's component, for every a that isn't smallest itself.
 
-    ``links`` are pairs (a, b) of long integers.
+    ``links`` are pairs (a, b) of long integers.  Neighbours of a star's centre are never brought together in one task.
     """
-    pairs = materialize(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "links")
+    spark = links.sparkSession
+    pairs, path = written(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "links")
     mark = lambda df: df.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+    least = lambda df: df.groupBy("a").agg(F.min("b").alias("low"), F.count("*").alias("n"))
     before = mark(pairs)
     while before[0]:
         both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("a", "low").alias("low"))
-        large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("low").alias("b")).where("a <> b").distinct()
-        low = large.groupBy("a").agg(F.min("b").alias("low"))
-        small = large.join(low, "a").where("b <> low").select(F.col("b").alias("a"), F.col("low").alias("b")).union(low).distinct()
-        pairs = materialize(small, "links")
-        after = mark(pairs)
+        low = least(both).withColumn("low", F.least("a", "low"))
+        large = lookup(both, low, "a", 2 * before[0]).where("b > a").select(F.col("b").alias("a"), F.col("low").alias("b")).where("a <> b").distinct()
+        low = least(large)
+        small = lookup(large, low, "a", 2 * before[0]).where("b <> low").select(F.col("b").alias("a"), F.col("low").alias("b")).union(low.select("a", "low")).distinct()
+        (pairs, new), old = written(small, "links"), path
+        discard(spark, old)
+        path, after = new, mark(pairs)
         if after == before:
             break
         before = after
@@ -260,11 +296,12 @@ def connected(links: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, fp, component_id): each row's fingerprint and the smallest id reachable through links."""
     fps = materialize(with_fingerprints(docs, id_col, text_col), "fingerprints")
-    distinct = fps.groupBy("fp").agg(F.min("id").alias("first_id"))
-    found = connected(links_within(distinct))
-    rooted = distinct.join(found.withColumnRenamed("a", "fp"), "fp", "left").select("fp", "first_id", F.coalesce("b", "fp").alias("root"))
-    smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    return fps.join(rooted.join(smallest, "root").select("fp", "component_id"), "fp").select("id", "fp", "component_id")
+    distinct = materialize(fps.groupBy("fp").agg(F.min("id").alias("first_id"), F.count("*").alias("n")), "distinct")
+    found = connected(links_within(distinct.select("fp")))
+    rooted = distinct.join(found.withColumnRenamed("a", "fp"), "fp", "left").select("fp", "first_id", F.col("n").alias("rows"), F.coalesce("b", "fp").alias("root"))
+    smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"), F.count("*").alias("n"))
+    by_fp = lookup(rooted, smallest, "root", distinct.count()).select("fp", "component_id", F.col("rows").alias("n"))
+    return lookup(fps, by_fp, "fp", fps.count()).select("id", "fp", "component_id")
 
 
 def op2_simhash_bk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
