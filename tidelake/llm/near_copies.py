@@ -1,12 +1,17 @@
 """Texts whose sets of word 5-grams have a Jaccard similarity of 0.8 or more.
 
-An exact join of sets by prefixes, in two steps.  In any common order of grams,
+SimHash comes first: fingerprints of the grams are linked through BK-trees
+(``simhash_bk``), which finds most near copies.  At this similarity fingerprints
+may differ in more bits than any sharded search of 64 bits can follow, so an exact
+join of sets by prefixes finds the rest.  In any common order of grams,
 two similar sets share at least min(``shared`` of each) grams among the first
-``head`` of each.  The first step takes the order of hashes, and keeps a text if
-enough of its first grams are in another text; few are left.  The second orders
+``head`` of each.  One step takes the order of hashes, and keeps a text if
+enough of its first grams are in another text; few are left.  The next orders
 what is left by frequency, rarest first, so that common passages come last, and
-pairs texts that share one of their first grams: with the first text of each
-gram, then those that are still in different components.  Pairs whose parity bits
+pairs texts that share one of their first grams and are in different components:
+first each gram's first text with the others, then each with the nearest one,
+then all that is left.  Early steps give at most one pair for each text and gram, and unite
+large groups, so that the last has little to do.  Pairs whose parity bits
 differ too much can't be similar and don't go on.  Every other pair is confirmed by the similarity of its sets before it links.
 
 Defined results: case and white space don't count; null text is empty; a text of
@@ -26,12 +31,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidelake.llm.common import materialize, spread
-from tidelake.llm.simhash_bk import SEED, connected
+from tidelake.llm.simhash_bk import PAIRS, ROWS, SEED, connected, links_within, majority, whole_keys
 
 SHINGLE = 5
 SIMILARITY = 0.8
-#: Rows that are worked on at once, about.
-ROWS = 100_000
 #: Columns of a set's parity bits: each of 512 tells whether an odd number of grams has it.
 BITS = [f"bits{i}" for i in range(8)]
 
@@ -76,23 +79,6 @@ def node(text_col: str) -> Column:
     return F.xxhash64(normal(text_col))
 
 
-def whole_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
-    """Columns of rows sorted by the first, cut between its values."""
-    held: list[list[np.ndarray]] = []
-    for batch in batches:
-        held.append([c.to_numpy() for c in batch.columns])
-        if sum(len(h[0]) for h in held) < ROWS:
-            continue
-        rows = [np.concatenate(c) for c in zip(*held)]
-        held = [rows]
-        cut = int(np.searchsorted(rows[0], rows[0][-1]))
-        if cut:
-            yield [c[:cut] for c in rows]
-            held = [[c[cut:] for c in rows]]
-    if held:
-        yield [np.concatenate(c) for c in zip(*held)]
-
-
 def groups(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and sizes of the runs of a sorted key."""
     start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, np.int64)
@@ -164,7 +150,8 @@ def components(docs: DataFrame, text_col: str = "text", size: int = SHINGLE, sim
         for batch in batches:
             found = [grams(text.as_py(), size) for text in batch.column(1)]
             bits = np.array([parity(g) for g in found], np.int64).reshape(-1, len(BITS))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([g.tobytes() for g in found], pa.binary()), *map(pa.array, bits.T)], ["node", "grams", *BITS])
+            fps = np.array([majority(g.view(np.uint64)) for g in found], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([g.tobytes() for g in found], pa.binary()), pa.array(fps), *map(pa.array, bits.T)], ["node", "grams", "fp", *BITS])
 
     def every_gram(batches):
         return entries_of((t, g, len(g)) for batch in batches for t, g in zip(batch.column(0).to_pylist(), (np.frombuffer(x.as_py(), np.int64) for x in batch.column(1))))
@@ -176,44 +163,54 @@ def components(docs: DataFrame, text_col: str = "text", size: int = SHINGLE, sim
             keep = np.arange(len(text)) - np.repeat(start, many) < np.repeat(np.array(first, np.int64), many)
             yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (gram, text, n)], ["gram", "node", "n"])
 
-    def pairs_of(batches, rest):
-        """With each gram's first text, or else the other pairs of different components."""
+    def pairs_of(batches, step):
+        """Pairs of texts of different components that share a gram: with its first text, with the nearest one, or all."""
         for gram, text, n, root, *bits in whole_keys(batches):
-            bits = np.stack(bits, axis=1)
+            bits = np.stack(bits, axis=1).view(np.uint64)
             a, b = [], []
             for s, many in zip(*groups(gram)):
-                t, k, r, p = (x[s : s + many] for x in (text, n, root, bits))
-                if many < 2 or rest and (r == r[0]).all():
+                t, k, r, p = (x[s : s + many] for x in (text, n.astype(np.int64), root, bits))
+                if many < 2 or (r == r[0]).all():
                     continue
-                for i in range(1, many - 1) if rest else (0,):
-                    near = np.minimum(k[i + 1 :], k[i]) >= similarity * np.maximum(k[i + 1 :], k[i]) - 1e-9
-                    apart = np.bitwise_count((p[i + 1 :] ^ p[i]).view(np.uint64)).sum(axis=1, dtype=np.int64)
-                    near &= apart <= (k[i + 1 :].astype(np.int64) + k[i]) * (1 - similarity) / (1 + similarity) + 1e-9
-                    if rest:
-                        near &= r[i + 1 :] != r[i]
-                    b.append(t[i + 1 :][near])
-                    a.append(np.full(len(b[-1]), t[i]))
+                roots, count = np.unique(r, return_counts=True)
+                main = r == roots[count.argmax()]  # pairs within the largest component needn't be looked at
+                asked = np.flatnonzero(~main) if step else np.zeros(1, np.int64)
+                for i in np.array_split(asked, -(-len(asked) * many // PAIRS)):
+                    apart = np.zeros((len(i), many), np.int64)
+                    for w in range(p.shape[1]):
+                        apart += np.bitwise_count(p[i, w][:, None] ^ p[:, w])
+                    ki = k[i][:, None]
+                    near = (np.minimum(k, ki) >= similarity * np.maximum(k, ki) - 1e-9) & (apart <= (k + ki) * (1 - similarity) / (1 + similarity) + 1e-9) & (r != r[i][:, None])
+                    if step == "nearest":
+                        best = np.where(near, apart, 1 << 20).argmin(axis=1)
+                        near &= np.arange(many) == best[:, None]
+                    elif step:
+                        near &= main | (np.arange(many) > i[:, None])
+                    x, y = np.nonzero(near)
+                    a.append(t[i[x]])
+                    b.append(t[y])
             if a:
-                found = np.unique(np.stack([np.concatenate(a), np.concatenate(b)]), axis=1)
+                found = np.unique(np.sort(np.stack([np.concatenate(a), np.concatenate(b)]), axis=0), axis=1)
                 yield pa.RecordBatch.from_arrays([pa.array(found[0]), pa.array(found[1])], ["a", "b"])
 
     texts = docs.select(node(text_col).alias("node"), normal(text_col).cast("binary").alias("normal"))
     common = in_others(spread(texts).mapInArrow(first_grams, "gram long, node long, n int"))
     candidates = common.groupBy("node").agg(F.count("*").alias("found"), F.first("n").alias("n")).where("found >= n").select("node")
     one_each = texts.groupBy("node").agg(F.first("normal").alias("normal"))
-    sets = materialize(one_each.join(candidates, "node", "left_semi").mapInArrow(whole_sets, ", ".join(["node long, grams binary", *(f"{b} long" for b in BITS)])), "grams")
+    sets = materialize(one_each.join(candidates, "node", "left_semi").mapInArrow(whole_sets, ", ".join(["node long, grams binary, fp long", *(f"{b} long" for b in BITS)])), "grams")
     ordered = in_others(sets.select("node", "grams").mapInArrow(every_gram, "gram long, node long, n int")).select("node", "texts", "gram", "n").repartition("node").sortWithinPartitions("node", "texts", "gram")
-    entries = materialize(ordered.mapInArrow(rarest, "gram long, node long, n int").join(sets.drop("grams"), "node"), "entries")
-
-    def links(roots, rest):
-        by_gram = roots.select("gram", "node", "n", "root", *BITS).repartition("gram").sortWithinPartitions("gram", "node")
-        found = by_gram.mapInArrow(lambda batches: pairs_of(batches, rest), "a long, b long").distinct()
-        return materialize(similar_pairs(found, sets, similarity), "similar")
-
-    first = links(entries.withColumn("root", F.col("node")), False)
-    roots = connected(first).select(F.col("a").alias("node"), F.col("b").alias("root"))
-    rest = links(entries.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), True)
-    return connected(first.union(rest)).select(F.col("a").alias("node"), F.col("b").alias("root"))
+    entries = materialize(ordered.mapInArrow(rarest, "gram long, node long, n int").join(sets.drop("grams", "fp"), "node"), "entries")
+
+    def roots_with(found, pairs):
+        return connected(found.unionByName(materialize(similar_pairs(pairs, sets, similarity), "similar")))
+
+    found = connected(materialize(similar_pairs(links_within(sets.select("fp", "node")), sets, similarity), "similar"))
+    for step in ("", "nearest", "rest"):
+        roots = found.select(F.col("a").alias("node"), F.col("b").alias("root"))
+        rooted = entries.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        by_gram = rooted.select("gram", "node", "n", "root", *BITS).repartition("gram").sortWithinPartitions("gram", "node")
+        found = roots_with(found, by_gram.mapInArrow(lambda batches, step=step: pairs_of(batches, step), "a long, b long").distinct())
+    return found.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

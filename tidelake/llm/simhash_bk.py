@@ -35,12 +35,20 @@ SEED = 42
 BANDS = ((0, 11), (11, 11), (22, 11), (33, 11), (44, 10), (54, 10))
 #: Shards above this many fingerprints are searched one component at a time.
 LARGE = 1024
-#: Pairs that a step of the search may hold.
-PAIRS = 2_000_000
+#: Pairs that a step of the search may hold, and sorted rows that are worked on at once, about.
+PAIRS, ROWS = 2_000_000, 100_000
 #: Shards above about this many fingerprints are dealt out further; one fingerprint in so many tells which.
 SPLIT, SAMPLED = 1 << 16, 64
 
 
+def majority(hashes: np.ndarray) -> int:
+    """The fingerprint whose bits more than half of the unsigned 64-bit hashes have."""
+    ones = np.zeros(64, dtype=np.int64)
+    for i in range(0, len(hashes), 65536):
+        ones += np.unpackbits(hashes[i : i + 65536].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
+
+
 def fingerprint(text: bytes, size: int = SHINGLE) -> int:
     """The SimHash of a UTF-8 text, unsigned."""
     import xxhash
@@ -54,10 +62,7 @@ def fingerprint(text: bytes, size: int = SHINGLE) -> int:
     else:
         ends = list(accumulate((len(w) + 1 for w in words), initial=-1))
         hashes = np.fromiter((hash_of(joined[a + 1 : b], SEED) for a, b in zip(ends, ends[size:])), dtype="<u8", count=len(words) - size + 1)
-    ones = np.zeros(64, dtype=np.int64)
-    for i in range(0, len(hashes), 65536):
-        ones += np.unpackbits(hashes[i : i + 65536].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
+    return majority(hashes)
 
 
 def with_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -201,25 +206,33 @@ def shard_labels(keys: np.ndarray, values: np.ndarray, radius: int = RADIUS) ->
     return labels
 
 
-def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted (key, fp) rows to links (a, b), b the first of its component in a shard."""
-    keys, values = np.zeros(0, np.int64), np.zeros(0, np.int64)
-
-    def links(keys, values):
-        root = shard_labels(keys, values.view(np.uint64))
-        far = root != np.arange(len(root))
-        return pa.RecordBatch.from_arrays([pa.array(values[far]), pa.array(values[root[far]])], ["a", "b"])
-
+def whole_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+    """Columns of rows sorted by the first, cut between its values, about ``ROWS`` rows at once."""
+    held: list[list[np.ndarray]] = []
     for batch in batches:
-        keys = np.concatenate([keys, batch.column(0).to_numpy()])
-        values = np.concatenate([values, batch.column(1).to_numpy()])
-        if len(keys) < 100_000:
+        held.append([c.to_numpy() for c in batch.columns])
+        if sum(len(h[0]) for h in held) < ROWS * (1 + len(held[0][0]) // ROWS):
             continue
-        whole = int(np.searchsorted(keys, keys[-1]))  # the last key may go on
-        if whole:
-            yield links(keys[:whole], values[:whole])
-            keys, values = keys[whole:], values[whole:]
-    yield links(keys, values)
+        rows = [np.concatenate(c) for c in zip(*held)]
+        held = [rows]
+        cut = int(np.searchsorted(rows[0], rows[0][-1]))
+        if cut:
+            yield [c[:cut] for c in rows]
+            held = [[c[cut:] for c in rows]]
+    if held:
+        yield [np.concatenate(c) for c in zip(*held)]
+
+
+def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (key, fp) or (key, fp, node), sorted, to links (a, b) of fingerprints or of nodes, b the first of its component in a shard."""
+    for key, fp, *more in whole_keys(batches):
+        node = more[0] if more else fp
+        new = np.r_[True, (key[1:] != key[:-1]) | (fp[1:] != fp[:-1])][: len(key)]
+        first = np.flatnonzero(new)
+        root = shard_labels(key[first], fp[first].view(np.uint64))
+        other = node[first[root[np.cumsum(new) - 1]]] if len(first) else node
+        far = other != node
+        yield pa.RecordBatch.from_arrays([pa.array(node[far]), pa.array(other[far])], ["a", "b"])
 
 
 def shard_keys(fp):
@@ -250,22 +263,23 @@ def rest_bits(fp, pair):
 
 
 def links_within(fps: DataFrame, split: int = SPLIT, sampled: int = SAMPLED) -> DataFrame:
-    """Star links (a, b), a != b, of the distinct fingerprints in column ``fp``.
+    """Star links (a, b), a != b, of the distinct fingerprints in column ``fp``, or of the rows' ``node`` if ``fps`` has one.
 
     A shard of more than about ``split`` fingerprints is dealt out by five parts of
     its other bits: two fingerprints within four bits agree on one part at least.
     Which shards are large is told by one fingerprint in ``sampled``; that changes where links are found, not which.
     """
-    entries = fps.select(F.explode(shard_keys(F.col("fp"))).alias("key"), "fp")
+    columns = ["fp", *(["node"] if "node" in fps.columns else [])]
+    entries = fps.select(F.explode(shard_keys(F.col("fp"))).alias("key"), *columns)
     few = entries.where(F.pmod(F.xxhash64("fp"), F.lit(sampled)) == 0).groupBy("key").count()
     large = max(split // sampled, 15 * fps.count() // sampled // HOT_KEYS, 1)  # so that at most HOT_KEYS shards are
     hot = materialize(few.where(F.col("count") > large).select("key"), "shards")
     if hot.count():
         rest = rest_bits(F.col("fp"), F.shiftright("key", 24))
         part = lambda k: F.xxhash64("key", F.lit(k), F.shiftrightunsigned(F.col("rest"), 9 * k).bitwiseAND(F.lit(511)))
-        parts = entries.join(F.broadcast(hot), "key", "left_semi").withColumn("rest", rest).select(F.explode(F.array(*map(part, range(RADIUS + 1)))).alias("key"), "fp")
+        parts = entries.join(F.broadcast(hot), "key", "left_semi").withColumn("rest", rest).select(F.explode(F.array(*map(part, range(RADIUS + 1)))).alias("key"), *columns)
         entries = entries.join(F.broadcast(hot), "key", "left_anti").union(parts)
-    return entries.repartition("key").sortWithinPartitions("key", "fp").mapInArrow(_stars, "a long, b long").distinct()
+    return entries.repartition("key").sortWithinPartitions("key", *columns).mapInArrow(_stars, "a long, b long").distinct()
 
 
 def connected(links: DataFrame) -> DataFrame:
