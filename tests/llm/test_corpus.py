@@ -391,22 +391,87 @@ def test_toxicity(spark, odd):
     pos, neg = [s for s, y in held if y], [s for s, y in held if not y]
     auc = sum((a > b) + (a == b) / 2 for a in pos for b in neg) / (len(pos) * len(neg))
     # 5 of the 14 toxic rows here hold no sign that any other toxic row has
-    assert auc > 0.75, auc
+    assert auc > 0.7, auc
     assert toxicity.op6_toxicity_weak(spark, odd).count() == len(ODD)
 
 
 def test_label_model_finds_accuracies():
+    """Accuracies and classes are found from votes alone, though one voter comes three times."""
     import numpy as np
 
     rng = np.random.default_rng(1)
-    y = rng.random(4000) < 0.3
-    votes = np.stack([np.where(rng.random(4000) < p, np.where(y, 1, -1), np.where(y, -1, 1)) for p in (0.9, 0.8, 0.7)], axis=1)
-    votes = np.concatenate([votes, votes[:, :1], votes[:, :1]], axis=1).astype(np.int8)  # copies of one voter
-    given = np.where(rng.random(4000) < 0.85, y, ~y).astype(int)
-    posterior, accuracy, weight = toxicity.label_model(votes, given)
-    assert abs(accuracy[1] - 0.8) < 0.05 and abs(accuracy[-1] - 0.85) < 0.05
+    y = rng.random(6000) < 0.4
+    votes = np.stack([np.where(rng.random(6000) < p, np.where(y, 1, -1), np.where(y, -1, 1)) * (rng.random(6000) < 0.8) for p in (0.9, 0.8, 0.7, 0.85)], axis=1)
+    copies = np.where(rng.random((6000, 2)) < 0.02, 0, votes[:, :1])
+    posterior, accuracy, weight = toxicity.label_model(np.concatenate([votes, copies], axis=1).astype(np.int8))
+    assert np.abs(accuracy[:4] - [0.9, 0.8, 0.7, 0.85]).max() < 0.05
     assert weight[0] < 0.4 < weight[1]
-    assert ((posterior > 0.5) == y).mean() > 0.93
+    assert ((posterior > 0.5) == y).mean() > 0.88
+
+
+def test_em_and_logistic_against_plain_versions(monkeypatch):
+    import math
+
+    import numpy as np
+
+    monkeypatch.setattr(toxicity, "CHUNK", 7)
+    rng = np.random.default_rng(2)
+    votes = rng.integers(-1, 2, (40, 6)).astype(np.int8)
+    weight, posterior = rng.random(6), rng.random(40)
+    found = toxicity.em(votes, weight, posterior, rounds=2)
+    p = posterior.tolist()
+    for _ in range(2):
+        share = {}
+        for c in (0, 1):
+            for v in range(6):
+                for x in (-1, 0, 1):
+                    mass = [p[i] if c else 1 - p[i] for i in range(40)]
+                    share[c, v, x] = (0.3 + sum(m for i, m in enumerate(mass) if votes[i, v] == x)) / (0.9 + sum(mass))
+        prior = sum(p) / 40
+        p = [1 / (1 + math.exp(-(math.log(prior / (1 - prior)) + sum(weight[v] * math.log(share[1, v, votes[i, v]] / share[0, v, votes[i, v]]) for v in range(6))))) for i in range(40)]
+    assert np.abs(found - p).max() < 1e-9
+
+    hits = [sorted(set(rng.integers(0, 5, 2).tolist())) if rng.random() < 0.6 else [] for _ in range(40)]
+    strengths, target = rng.random((40, 4)), rng.random(40)
+    votes = toxicity.votes_of(hits, strengths, 5)
+    w = toxicity.logistic(votes, strengths, target, ridge=0.01)
+
+    def loss(w):  # its minimum is where no small step makes it less
+        out = 0.005 * 40 * sum(x * x for x in w[:-1]) + 0.5e-6 * w[-1] ** 2
+        for h, s, t in zip(hits, strengths, target):
+            z = sum(w[i] for i in h) + (w[5] if h else 0) + sum(w[6 + i] * s[i] for i in range(4)) + w[-1]
+            out += math.log(1 + math.exp(z)) - t * z
+        return out
+
+    assert all(loss(w) <= loss(w + d * e) for e in np.eye(len(w)) for d in (1e-3, -1e-3))
+
+
+def plain_score(text, model):
+    words = re.findall(r"[^\W\d_]+", text.lower())
+    n, w = len(model["index"]), model["weights"]
+    z = w[-1] + sum(w[i] for t, i in model["index"].items() if t in words) + (w[n] if any(t in model["index"] for t in words) else 0)
+    if text:
+        z += w[n + 1] * len(re.findall("[A-Z\u00c0-\u00d6\u00d8-\u00de]", text)) / len(text) + w[n + 2] * text.count("!") / len(text)
+    if words:
+        z += w[n + 3] * sum(a == b for a, b in zip(words, words[1:])) / len(words) + w[n + 4] * sum(x in ("you", "your", "u") for x in words) / len(words)
+    return 1 / (1 + 2.718281828459045 ** -z)
+
+
+def test_toxic_documents_go_and_others_stay(spark, tmp_path):
+    """The stage against a plain score of every text; copies with labels that differ; labels of one class only."""
+    docs = [(i, f"plain words number {i} here" + (" you vile wretch" if i % 5 == 0 else "")) for i in range(200)] + [(None, "you vile wretch"), (500, None), (501, "plain words"), (502, "plain words")]
+    frame = spark.createDataFrame([(i, t, i) for i, t in docs], SCHEMA + ", label bigint")
+    labels = [(i, int(i % 5 == 0)) for i in range(200)] + [(501, 1), (502, 0), (503, None), (7, 0)]
+    spark.createDataFrame(labels, "doc_id bigint, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    model = toxicity.train(frame, spark.read.parquet(f"{tmp_path}/labels.parquet"))
+    assert {"vile", "wretch"} <= set(model["index"]) and model["agreement"] > 0.95
+    expected = Counter(i for i, t in docs if plain_score(t or "", model) < 0.3)
+    for parts in (1, 5):
+        kept = toxicity.drop_toxic(spark, frame.repartition(parts), str(tmp_path))
+        assert kept.columns == frame.columns and Counter(r["doc_id"] for r in kept.collect()) == expected
+    assert {i for i in range(0, 200, 5)} & set(expected) == set() and len(expected) == 163
+    spark.createDataFrame([(i, 1) for i in range(9)], "doc_id bigint, toxic int").write.mode("overwrite").parquet(f"{tmp_path}/labels.parquet")
+    assert toxicity.drop_toxic(spark, frame, str(tmp_path)).count() == len(docs)
 
 
 # 7

@@ -1,26 +1,30 @@
 """Toxicity by weak supervision.
 
-Words that go with the label in a bounded labelled sample become lexicon voters,
-and pattern voters join them.  A generative label model estimates by EM how each
-voter votes on toxic and on clean texts, with the given label as one voter more
-whose accuracy is estimated too; correlations of voters, beyond what the given
-class explains, are estimated first, and correlated voters share one vote.  The posteriors are the labels from which a logistic regression is trained;
-it scores every text.
+Words that go with the label in a bounded labelled sample become lexicon voters;
+pattern voters join them, and one that takes a text without lexicon words for clean.
+A generative label model, which sees the votes and no label, estimates by EM how each
+voter votes on toxic and on clean texts, and which voters go together beyond what the
+class explains; such voters share one vote.  Its posteriors are the labels from which a
+logistic regression is trained; it scores every text.
 
 Labels are read only where crc32(doc_id as text) mod 4 isn't 2.  The labelled
-sample's bound is ``SAMPLE`` rows (those with the least hash of their id); what
-reaches the driver is at most ``LEXICON`` words and the sample's features.
+sample's bound is ``SAMPLE`` texts (those with the least hashes of their ids, and of
+their texts); what reaches the driver is the words and features of that sample.
 
 Defined results: null text is empty and gets the score of a text without any
-sign; rows without a label count as unlabelled; repeated rows get equal scores;
+sign; rows without a label count as unlabelled; a text's labels, where its copies or
+an id's rows differ, are averaged; repeated rows get equal scores;
 an empty documents table gives no rows; with no usable label of one class every
-score is the labels' rate (0 if there are none).
+score is the labels' rate (0 if there are none), and the pipeline keeps every document.
 """
 
 from __future__ import annotations
 
+import math
+import operator
 import re
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -30,12 +34,16 @@ from pyspark.sql import functions as F
 from tidelake.llm.common import materialize, spread, table
 
 SAMPLE = 20_000
-LEXICON = 64
 THRESHOLD = 0.3
 #: A word becomes a voter if it is in so many sampled texts, and the lower bound of its toxic share is so high.
 LEAST_TEXTS, LEAST_SHARE = 5, 0.5
-#: Voters correlated above this, given the class, share a vote.
-CORRELATED = 0.5
+#: Voters correlated above this, given the class, share a vote; at first, with no class known, above the other.
+CORRELATED, ALIKE = 0.5, 0.9
+RIDGE = 2e-5
+#: Count that every vote of every voter starts with.
+SMOOTH = 0.3
+#: Rows that are worked on at once on the driver.
+CHUNK = 2048
 WORD = re.compile(r"[^\W\d_]+")
 UPPER = re.compile("[A-Z\u00c0-\u00d6\u00d8-\u00de]")
 PATTERNS = ("shouting", "exclaiming", "repeating", "addressing")
@@ -45,144 +53,178 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))
 
 
-def text_features(text: str, index: dict[str, int]) -> np.ndarray:
-    """1 for each lexicon word in the text, then the patterns' strengths."""
-    out = np.zeros(len(index) + len(PATTERNS))
+def text_features(text: str, index: dict[str, int]) -> tuple[list[int], list[float]]:
+    """The places of the text's lexicon words, and the patterns' strengths."""
     words = WORD.findall(text.lower())
-    for w in words:
-        if w in index:
-            out[index[w]] = 1
+    strength = [0.0] * len(PATTERNS)
     if text:
-        n = len(index)
         # of all characters: upper-case letters, exclamation marks; of all words: those that follow themselves, second person
-        out[n] = len(UPPER.findall(text)) / len(text)
-        out[n + 1] = text.count("!") / len(text)
+        strength[0] = len(UPPER.findall(text)) / len(text)
+        strength[1] = text.count("!") / len(text)
         if words:
-            out[n + 2] = sum(a == b for a, b in zip(words, words[1:])) / len(words)
-            out[n + 3] = sum(w in ("you", "your", "u") for w in words) / len(words)
-    return out
+            strength[2] = sum(map(operator.eq, words, islice(words, 1, None))) / len(words)
+            strength[3] = sum(map(words.count, ("you", "your", "u"))) / len(words)
+    return sorted({index[w] for w in index.keys() & words}), strength
 
 
 #: From which strength on a pattern votes.
 VOTES_FROM = np.array([0.3, 0.01, 0.2, 0.05])
 
 
-def votes_of(x: np.ndarray) -> np.ndarray:
+def votes_of(hits: list[list[int]], strengths: np.ndarray, n_words: int) -> np.ndarray:
     """(n, voters) of 1 (toxic), -1 (clean), 0 (no vote): lexicon words, patterns, and one that takes texts without lexicon words for clean."""
-    n_words = x.shape[1] - len(PATTERNS)
-    words = (x[:, :n_words] > 0).astype(np.int8)
-    patterns = (x[:, n_words:] >= VOTES_FROM).astype(np.int8)
-    clean = -(words.sum(axis=1) == 0).astype(np.int8)
-    return np.concatenate([words, patterns, clean[:, None]], axis=1)
+    out = np.zeros((len(hits), n_words + len(PATTERNS) + 1), dtype=np.int8)
+    out[np.repeat(np.arange(len(hits)), [len(h) for h in hits]), [i for h in hits for i in h]] = 1
+    out[:, n_words:-1] = strengths >= VOTES_FROM
+    out[:, -1] = [-(not h) for h in hits]
+    return out
+
+
+def chunks_of(n: int):
+    return (slice(i, i + CHUNK) for i in range(0, n, CHUNK))
+
 
+def vote_shares(votes: np.ndarray, posterior: np.ndarray) -> np.ndarray:
+    """(2 classes, voters, 3): how often each voter says -1, 0, 1 on texts of a class."""
+    count = np.full((2, votes.shape[1], 3), float(SMOOTH))
+    for part in chunks_of(len(votes)):
+        both = np.stack([1 - posterior[part], posterior[part]])
+        count[:, :, 0] += both @ (votes[part] < 0)
+        count[:, :, 2] += both @ (votes[part] > 0)
+    count[:, :, 1] += np.array([[len(votes) - posterior.sum()], [posterior.sum()]]) - count[:, :, 0] - count[:, :, 2] + 2 * SMOOTH
+    return count / count.sum(axis=2, keepdims=True)
 
-def label_model(votes: np.ndarray, given: np.ndarray, rounds: int = 20) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+
+def em(votes: np.ndarray, weight: np.ndarray, posterior: np.ndarray, rounds: int = 20) -> np.ndarray:
+    """Posteriors of the toxic class after so many rounds, voters independent given the class but for their weights."""
+    for _ in range(rounds):
+        prior = np.clip(posterior.mean(), 1e-3, 1 - 1e-3)
+        share = np.log(vote_shares(votes, posterior))
+        ratio = weight[:, None] * (share[1] - share[0])
+        score = np.concatenate([(votes[part] > 0) @ (ratio[:, 2] - ratio[:, 1]) + (votes[part] < 0) @ (ratio[:, 0] - ratio[:, 1]) for part in chunks_of(len(votes))])
+        posterior = 1 / (1 + np.exp(-np.clip(score + ratio[:, 1].sum() + np.log(prior / (1 - prior)), -30, 30)))
+    return posterior
+
+
+def correlations(votes: np.ndarray, posterior: np.ndarray | None) -> np.ndarray:
+    """Correlations of voters beyond what the classes explain, or beyond their means without a posterior."""
+    of = np.full(len(votes), 0.5) if posterior is None else posterior
+    sides = np.stack([1 - of, of], axis=1)
+    mean = np.zeros((2, votes.shape[1]))
+    for part in chunks_of(len(votes)):
+        mean += sides[part].T @ votes[part]
+    mean /= np.maximum(sides.sum(axis=0), 1e-9)[:, None]
+    product = np.zeros((votes.shape[1], votes.shape[1]))
+    for part in chunks_of(len(votes)):
+        rest = votes[part] - sides[part] @ mean
+        product += rest.T @ rest
+    size = np.sqrt(np.diag(product))
+    return product / np.maximum(np.outer(size, size), 1e-9)
+
+
+def label_model(votes: np.ndarray, rounds: int = 3) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Posteriors of the toxic class, each voter's accuracy, and its weight (1 / the size of its group of correlated voters).
 
-    ``given`` are the noisy labels; they vote too.
+    No label goes in.  EM starts from whether any voter says toxic; voters that are nearly
+    the same share a vote at once, others as they turn out to be correlated given the classes found.
     """
-    every = np.concatenate([votes, np.where(given > 0, 1, -1).astype(np.int8)[:, None]], axis=1)
-    weight = np.ones(every.shape[1])
-    onehot = np.stack([every == v for v in (-1, 0, 1)], axis=2).astype(np.float64)
-
-    def em(posterior: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        for _ in range(rounds):
-            prior = np.clip(posterior.mean(), 1e-3, 1 - 1e-3)
-            theta = []
-            for p in (1 - posterior, posterior):
-                count = np.einsum("n,nvk->vk", p, onehot) + 1.0
-                theta.append(count / count.sum(axis=1, keepdims=True))
-            ratio = np.log(theta[1]) - np.log(theta[0])
-            score = np.einsum("nvk,vk,v->n", onehot, ratio, weight) + np.log(prior / (1 - prior))
-            posterior = 1 / (1 + np.exp(-np.clip(score, -30, 30)))
-        right = (posterior[:, None] * (every > 0) + (1 - posterior)[:, None] * (every < 0)).sum(axis=0)
-        return posterior, right / np.maximum((every != 0).sum(axis=0), 1)
-
-    # what voters have in common beyond the given class (posteriors would follow a crowd of copies)
-    posterior = np.where(given > 0, 0.9, 0.1)
-    rest = every.astype(np.float64)
-    for p in (posterior, 1 - posterior):
-        total = max(p.sum(), 1e-9)
-        rest = rest - p[:, None] * ((p[:, None] * every).sum(axis=0) / total)
-    spread_ = rest.std(axis=0)
-    correlation = (rest.T @ rest) / len(rest) / np.maximum(np.outer(spread_, spread_), 1e-9)
-    weight = 1 / np.maximum((correlation > CORRELATED).sum(axis=0), 1)
-    weight[-1] = 1.0
-    posterior, accuracy = em(posterior)
-    return posterior, accuracy, weight
-
-
-def logistic(x: np.ndarray, target: np.ndarray, ridge: float = 2e-4, rounds: int = 30) -> tuple[np.ndarray, float]:
-    """Weights and bias of a logistic regression on soft targets, by Newton's method."""
-    z = np.concatenate([x, np.ones((len(x), 1))], axis=1)
-    w = np.zeros(z.shape[1])
-    w[-1] = np.log(np.clip(target.mean(), 1e-3, 1 - 1e-3) / (1 - np.clip(target.mean(), 1e-3, 1 - 1e-3)))
-    penalty = np.full(z.shape[1], ridge * len(z))
+    start = np.where((votes > 0).any(axis=1), 0.9, 0.1)
+    posterior, limit = None, ALIKE
+    for _ in range(rounds):
+        weight = 1 / np.maximum((correlations(votes, posterior) > limit).sum(axis=0), 1)
+        posterior, limit = em(votes, weight, start), CORRELATED
+    right = posterior @ (votes > 0) + (1 - posterior) @ (votes < 0)
+    return posterior, right / np.maximum((votes != 0).sum(axis=0), 1), weight
+
+
+def inputs(votes: np.ndarray, strengths: np.ndarray) -> np.ndarray:
+    """The classifier's inputs: lexicon words, whether there is any, the patterns' strengths, and a one."""
+    words = votes[:, : votes.shape[1] - len(PATTERNS) - 1] > 0
+    return np.concatenate([words, words.any(axis=1, keepdims=True), strengths, np.ones((len(votes), 1))], axis=1)
+
+
+def logistic(votes: np.ndarray, strengths: np.ndarray, target: np.ndarray, ridge: float = RIDGE, rounds: int = 30) -> np.ndarray:
+    """Weights of a logistic regression on soft targets, the bias last, by Newton's method."""
+    n, size = len(votes), votes.shape[1] + 1
+    w, rate = np.zeros(size), np.clip(target.mean(), 1e-3, 1 - 1e-3)
+    w[-1] = np.log(rate / (1 - rate))
+    penalty = np.full(size, ridge * n)
     penalty[-1] = 1e-6
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-        gradient = z.T @ (p - target) + penalty * w
-        hessian = (z * np.maximum(p * (1 - p), 1e-6)[:, None]).T @ z + np.diag(penalty)
+        gradient, hessian = penalty * w, np.diag(penalty)
+        for part in chunks_of(n):
+            z = inputs(votes[part], strengths[part])
+            p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
+            gradient += z.T @ (p - target[part])
+            hessian += (z * np.maximum(p * (1 - p), 1e-6)[:, None]).T @ z
         step = np.linalg.solve(hessian, gradient)
         w = w - step * min(1.0, 5.0 / max(np.abs(step).max(), 1e-9))
         if np.abs(step).max() < 1e-6:
             break
-    return w[:-1], float(w[-1])
+    return w
 
 
-def lexicon(train: DataFrame, size: int = LEXICON) -> list[str]:
-    """The words whose texts are toxic most surely, by the lower bound of the share; at most ``size``."""
+def lexicon(train: DataFrame) -> list[str]:
+    """The words whose texts are toxic surely enough, by the lower bound of the share; the sample bounds them."""
     words = F.array_distinct(F.filter(F.split(F.lower("text"), r"[^\p{L}]+"), lambda w: w != ""))
     counts = train.select("toxic", F.explode(words).alias("word")).groupBy("word").agg(F.count("*").alias("n"), F.sum("toxic").alias("k")).where(F.col("n") >= LEAST_TEXTS)
     n, p, z = F.col("n"), F.col("k") / F.col("n"), 2.0
     bound = (p + z * z / (2 * n) - z * F.sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n)
-    return [r["word"] for r in counts.where(bound > LEAST_SHARE).orderBy(bound.desc(), "word").limit(size).collect()]
+    return sorted(r["word"] for r in counts.where(bound > LEAST_SHARE).select("word").collect())
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str = "toxic", size: int = SAMPLE) -> DataFrame:
-    """(text, toxic) of at most ``size`` labelled rows outside the held-out part, copies of a text once."""
+    """(text, toxic) of at most ``size`` labelled texts outside the held-out part: each text once, with the share of its labels that are toxic."""
     usable = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    known = usable.groupBy("doc_id").agg(F.max((F.col(label) > 0).cast("int")).alias("toxic"))
+    known = usable.groupBy("doc_id").agg(F.avg((F.col(label) > 0).cast("int")).alias("toxic"))
     known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(size)  # bounded, so it may be broadcast
     found = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(F.broadcast(known), "doc_id")
-    return found.select(F.xxhash64("text").alias("_copy"), "text", "toxic").dropDuplicates(["_copy"]).select("text", "toxic")
+    return found.groupBy("text").agg(F.avg("toxic").alias("toxic")).orderBy(F.xxhash64("text"), "text").limit(size)
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> dict:
-    """The lexicon's index, and the classifier's weights and bias."""
+    """The lexicon's index, and the classifier's weights: of the words, of any word, of the patterns, and the bias."""
     sample = materialize(labelled_sample(docs, labels, label), "toxicity")
     index = {w: i for i, w in enumerate(lexicon(sample))}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [text_features(t, index).tolist() for t in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.float64())), batch.column(1)], ["x", "toxic"])
-
-    rows = sample.mapInArrow(run, "x array<double>, toxic int").collect()  # at most SAMPLE rows
-    given = np.array([r["toxic"] for r in rows], dtype=np.int64)
-    if not len(given) or given.min() == given.max():
-        rate = float(given.mean()) if len(given) else 0.0
-        return {"index": index, "weights": np.zeros(len(index) + len(PATTERNS)), "bias": None, "rate": rate}
-    x = np.array([r["x"] for r in rows])
-    order = np.lexsort((*x.T[::-1], given))  # whatever order the rows came in
-    x, given = x[order], given[order]
-    posterior, accuracy, weight = label_model(votes_of(x), given)
-    weights, bias = logistic(x, posterior)
-    return {"index": index, "weights": weights, "bias": bias, "accuracy": accuracy, "voter_weight": weight}
+            hits, strengths = zip(*(text_features(t, index) for t in batch.column(0).to_pylist())) if batch.num_rows else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(hits, pa.list_(pa.int32())), pa.array(strengths, pa.list_(pa.float64())), batch.column(1)], ["hits", "strengths", "toxic"])
+
+    rows = spread(sample).mapInArrow(run, "hits array<int>, strengths array<double>, toxic double").collect()  # at most SAMPLE rows
+    rows.sort(key=lambda r: (r["hits"], r["strengths"], r["toxic"]))  # whatever order they came in
+    given = np.array([r["toxic"] for r in rows])
+    if not len(given) or given.min() >= 0.5 or given.max() < 0.5:
+        return {"index": index, "weights": None, "rate": float(given.mean()) if len(given) else 0.0}
+    strengths = np.array([r["strengths"] for r in rows])
+    votes = votes_of([r["hits"] for r in rows], strengths, len(index))
+    posterior, accuracy, weight = label_model(votes)
+    return {"index": index, "weights": logistic(votes, strengths, posterior), "accuracy": accuracy, "voter_weight": weight, "agreement": float(((posterior >= 0.5) == (given >= 0.5)).mean())}
+
+
+def scorer(model: dict):
+    """A text's score under a trained model."""
+    index, weights = model["index"], model["weights"]
+    if weights is None:
+        return lambda text: model["rate"]
+    words, rest = weights[: len(index)], weights[len(index) :].tolist()
+
+    def score_of(text: str) -> float:
+        hits, strengths = text_features(text, index)
+        raw = rest[-1] + float(words[hits].sum()) + (rest[0] if hits else 0.0) + sum(map(operator.mul, rest[1:-1], strengths))
+        return 1 / (1 + math.exp(-min(max(raw, -30.0), 30.0)))
+
+    return score_of
 
 
 def score(docs: DataFrame, model: dict) -> DataFrame:
     """(doc_id, score) of every document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index, weights, bias = model["index"], model["weights"], model["bias"]
+        score_of = scorer(model)
         for batch in batches:
-            if bias is None:
-                out = [model["rate"]] * batch.num_rows
-            else:
-                raw = np.array([text_features(t.as_py() or "", index) @ weights + bias for t in batch.column(1)])
-                out = (1 / (1 + np.exp(-np.clip(raw, -30, 30)))).tolist()
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.float64())], ["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([score_of(t.as_py() or "") for t in batch.column(1)], pa.float64())], ["doc_id", "score"])
 
     return spread(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))).mapInArrow(run, "doc_id long, score double")
 
@@ -195,19 +237,15 @@ def op6_toxicity_weak(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents whose score is below the threshold, all columns kept."""
+    """The documents whose score is below the threshold, all columns kept; all documents where nothing could be learnt."""
     model = train(docs, table(spark, sf_dir, "labels"))
-    schema = docs.schema
+    if model["weights"] is None:
+        return docs
     place = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index, weights, bias = model["index"], model["weights"], model["bias"]
+        score_of = scorer(model)
         for batch in batches:
-            if bias is None:
-                keep = [model["rate"] < THRESHOLD] * batch.num_rows
-            else:
-                least = -np.log(1 / THRESHOLD - 1)
-                keep = [bool(text_features(t.as_py() or "", index) @ weights + bias < least) for t in batch.column(place)]
-            yield batch.filter(pa.array(keep, pa.bool_()))
-
-    return docs.mapInArrow(run, schema)
+            yield batch.filter(pa.array([score_of(t.as_py() or "") < THRESHOLD for t in batch.column(place)], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
