@@ -497,29 +497,41 @@ def plain_winnow(text, k=5, w=16):
     return out
 
 
-def test_winnow(spark):
-    docs = sorted(documents(SF))
-    rows = {r["doc_id"]: r for r in winnow.op7_winnow_fingerprints(spark, SF).collect()}
+def order_of(i, t):
+    h = xxhash.xxh64_intdigest(t.encode(), seed=42)
+    return i is not None, i or 0, h - (1 << 64) if h >> 63 else h
+
+
+def test_winnow(spark, odd):
+    """Odd documents too: null and repeated ids, rows alike, texts without words."""
     like = lambda a, b: len(a & b) / len(a | b) if a | b else 1.0
-    for n, (i, t) in enumerate(docs):
-        after = docs[(n + 1) % len(docs)][1]
-        half = len(t) // 2
-        edited = t[: len(t) - half] + after[:half]
-        f, g, h = plain_winnow(t), plain_winnow(edited), plain_winnow(after)
-        r = rows[i]
-        show = lambda x: ",".join(f"{a:x}@{p}" for a, p in x)
-        assert (r["n_chars"], r["edited_sha256"], r["fingerprint"], r["edited_fingerprint"]) == (len(t), hashlib.sha256(edited.encode()).hexdigest(), show(f), show(g))
-        sets = [{a for a, _ in x} for x in (f, g, h)]
-        assert abs(r["near_edited"] - like(sets[0], sets[1])) < 1e-9 and abs(r["near_next"] - like(sets[0], sets[2])) < 1e-9
-
-
-def test_winnow_odd_rows_and_sparse_ids(spark, odd):
-    assert winnow.op7_winnow_fingerprints(spark, odd).count() == len(ODD)
-    ids = [0, 63, 64, 5000, 1 << 20, (1 << 20) + 1, 1 << 40, -5]
-    docs = spark.createDataFrame([(i, f"t{i}") for i in ids], SCHEMA)
-    found = {r["doc_id"]: r["next_text"] for r in winnow.with_successor(docs, ["text"]).collect()}
-    order = sorted(ids)
-    assert found == {a: f"t{b}" for a, b in zip(order, order[1:] + order[:1])}
+    show = lambda x: ",".join(f"{a:x}@{p}" for a, p in x)
+    for rows, docs in both(spark, odd, winnow.op7_winnow_fingerprints):
+        docs, expected = sorted(docs, key=lambda d: order_of(*d)), Counter()
+        for n, (i, t) in enumerate(docs):
+            after = docs[(n + 1) % len(docs)][1]
+            half = len(t) // 2
+            edited = t[: len(t) - half] + after[:half]
+            f, g, h = plain_winnow(t), plain_winnow(edited), plain_winnow(after)
+            sets = [{a for a, _ in x} for x in (f, g, h)]
+            expected[i, len(t), hashlib.sha256(edited.encode()).hexdigest(), show(f), show(g), round(like(sets[0], sets[1]), 9), round(like(sets[0], sets[2]), 9)] += 1
+        names = ("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint")
+        assert expected == Counter((*(r[c] for c in names), round(r["near_edited"], 9), round(r["near_next"], 9)) for r in rows)
+
+
+@pytest.mark.parametrize("rows, groups", [(1, 4), (1, 1 << 16), (3, 1 << 16)])
+def test_successors(spark, rows, groups):
+    """Dense, sparse, hashed, repeated and null ids, and many rows alike, in small ranges."""
+    import random
+
+    rng = random.Random(rows)
+    ids = [0, 63, 64, 5000, 1 << 20, (1 << 20) + 1, 1 << 40, -5, None, None, *range(100, 140), *(rng.getrandbits(63) - (1 << 62) for _ in range(60))]
+    docs = [(i, f"t{i}") for i in ids] + [(i, f"other {i}") for i in (64, None, 5000)] + [(7, "alike")] * 70 + [(None, "alike")] * 50
+    found = winnow.with_successor(spark.createDataFrame(docs, SCHEMA).repartition(3), rows=rows, groups=groups)
+    docs.sort(key=lambda d: order_of(*d))
+    assert Counter((r["own"]["id"], r["own"]["text"], r["next"]["text"]) for r in found.collect()) == Counter((*d, n[1]) for d, n in zip(docs, docs[1:] + docs[:1]))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
 
 
 # 9

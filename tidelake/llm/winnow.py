@@ -14,25 +14,26 @@ which makes the least value the rightmost of equal hashes.
 Defined results: null text is empty; a text without words has no fingerprint,
 and one of fewer than ``K`` words has the hash of all its words; one of fewer
 than a window's hashes has their least.  Two texts without fingerprints are
-alike (1.0).  Repeated rows follow each other in the order of id and text, null
-ids first.  An empty table gives no rows.
+alike (1.0).  Null ids come first; rows of one id follow each other in the order of
+their texts' hashes.  An empty table gives no rows; columns besides the id and the text aren't read.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidelake.llm.common import table
+from tidelake.llm.common import materialize, table
 
 K = 5
 WINDOW = 16
 PRIME = 2147483647
 BASE = 1000003
 SHIFT = 1 << 31
-#: Ids with equal higher bits than these fall in one group when successors are looked for.
-GROUP_BITS = 6
-NO_ID = -(1 << 62)
+#: Keys in a range when successors are looked for, about, as long as there are no more than about so many ranges.
+ROWS, GROUPS = 64, 1 << 16
 
 
 def _bound(value: Column, use) -> Column:
@@ -94,50 +95,62 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(every == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(a, b)) / every)
 
 
-def with_successor(docs: DataFrame, carried: list[str], id_col: str = "doc_id", group: int = GROUP_BITS) -> DataFrame:
-    """``docs`` and, as ``next_*``, the ``carried`` columns of the row with the next id (after the last: of the first).
+def order_of(row: Column, text: Column) -> Column:
+    """What rows are ordered by: null ids first, then ids, then hashes of the texts."""
+    return F.struct(row.isNotNull().alias("there"), row.cast("long").alias("id"), F.xxhash64(text).alias("hash"))
 
-    Rows go out once, by groups of nearby ids; only each group's first row goes to the group before it.
-    """
-    # null ids have a group of their own before all others, so that plain equality keeps the partitioning
-    bucket = F.coalesce(F.shiftright(F.col(id_col).cast("long"), group), F.lit(NO_ID))
-    dealt = docs.withColumn("_bucket", bucket).repartition("_bucket")
-    order = Window.partitionBy("_bucket").orderBy(F.col(id_col).asc_nulls_first(), *(F.col(c) for c in carried if c == "text"))
-    payload = F.struct(*carried)
-    ranked = dealt.withColumns({"_row": F.row_number().over(order), "_next": F.lead(payload).over(order)})
-    heads = ranked.where("_row = 1").select("_bucket", payload.alias("_head"))
-    found = ranked.alias("l").join(_before(docs.select(bucket.alias("_bucket")), heads).alias("r"), (F.col("l._bucket") == F.col("r._bucket")) & F.col("l._next").isNull(), "left")
-    chosen = F.coalesce(F.col("l._next"), F.col("r._head"))
-    return found.select(*(F.col(f"l.{c}") for c in docs.columns), *(chosen[c].alias(f"next_{c}") for c in carried))
-
-
-def _before(buckets: DataFrame, heads: DataFrame) -> DataFrame:
-    """(_bucket, _head): each group's successor group's first row; the last group's is the first group's.
-
-    Groups are ranked by ranks within groups of groups, so that no task sorts more than those.
+
+def place(bounds: Column, key: Column) -> Column:
+    """How many of the sorted ``bounds`` aren't above ``key``, by halving."""
+
+    def step(at: Column, _: Column) -> Column:
+        middle = F.floor((at["low"] + at["high"]) / 2).cast("int")
+        above = F.get(bounds, middle) > key
+        halved = F.when(above, F.struct(at["low"].alias("low"), middle.alias("high"))).otherwise(F.struct((middle + 1).alias("low"), at["high"].alias("high")))
+        return F.when(at["low"] < at["high"], halved).otherwise(at).cast("struct<low:int,high:int>")
+
+    first = F.struct(F.lit(0).alias("low"), F.size(bounds).alias("high")).cast("struct<low:int,high:int>")
+    return F.aggregate(F.sequence(F.lit(0), F.lit(math.ceil(math.log2(2 * GROUPS + 2)))), first, step, lambda at: at["low"])
+
+
+def with_successor(docs: DataFrame, made=None, id_col: str = "doc_id", text_col: str = "text", groups: int = GROUPS, rows: int = ROWS) -> DataFrame:
+    """(own, next): structs of id, text and ``made`` (a function of the text) of every row and of the row with the next id (after the last: the first).
+
+    The order is cut into ranges at some of its keys, about one in ``rows`` and about ``groups`` at most, so ranges stay small
+    however ids are spread; texts go out once, by range, and each range's end gets the first row of the next.  Rows alike in id and
+    text can't be cut apart, so where they are many they go as one and are multiplied again.
     """
-    found = buckets.groupBy("_bucket").count().select("_bucket", F.shiftright("_bucket", 12).alias("_upper"))
-    inner = Window.partitionBy("_upper").orderBy(F.col("_bucket").asc_nulls_first())
-    ranked = found.withColumns({"_after": F.lead(F.struct("_bucket")).over(inner)})
-    uppers = found.groupBy("_upper").agg(F.min(F.struct("_bucket")).alias("_first"))
-    # one row for 4096 groups, that is for 262,144 ids
-    outer = Window.orderBy(F.col("_upper").asc_nulls_first())
-    everything = outer.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    uppers = uppers.select("_upper", F.coalesce(F.lead("_first").over(outer), F.first("_first").over(everything)).alias("_then"))
-    joined = ranked.alias("a").join(uppers.alias("b"), F.col("a._upper") == F.col("b._upper"), "left")
-    pairs = joined.select(F.col("a._bucket").alias("_bucket"), F.coalesce("a._after", "b._then")["_bucket"].alias("_to"))
-    return pairs.alias("p").join(heads.alias("h"), F.col("p._to") == F.col("h._bucket")).select(F.col("p._bucket").alias("_bucket"), F.col("h._head").alias("_head"))
+    row_id, text = F.col(id_col).cast("long"), F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    keyed = docs.select(order_of(row_id, text).alias("key"), text.alias("text"))
+    keys = materialize(keyed.groupBy("key").agg(F.count("*").alias("n")), "keys")
+    each = max(rows, keys.count() // groups)
+    # a key is a cut if its hash says so, and the first of all is one, so no range is empty
+    cuts = keys.where(F.pmod(F.xxhash64("key.id", "key.hash"), F.lit(each)) == 0).select("key").union(keys.agg(F.min("key").alias("key")))
+    bounds = materialize(cuts.agg(F.array_sort(F.collect_set("key")).alias("bounds")), "bounds")  # one row of about ``groups`` keys
+    last = bounds.select(F.size("bounds")).first()[0]
+    placed = keyed.withColumn("bounds", bounds.scalar()).withColumn("range", place(F.col("bounds"), F.col("key")))
+
+    heads = placed.where(F.get("bounds", F.col("range") - 1) == F.col("key")).groupBy("key", "range", "text").agg(F.lit(1))
+    before = F.when(F.col("range") == 1, F.lit(last)).otherwise(F.col("range") - 1)
+    payload = F.struct("id", "text", *([made(F.col("text")).alias("made")] if made else []))
+    heads = heads.select(before.alias("range"), "text", F.col("key.id").alias("id")).select("range", payload.alias("head"))
+
+    copied = F.broadcast(keys.where(F.col("n") > each * 8).select("key"))  # at most one in 8 * ``each`` rows
+    once = placed.join(copied, "key", "left_anti").select("key", "text", "range", F.lit(1).cast("long").alias("copies"))
+    once = once.union(placed.join(copied, "key", "left_semi").groupBy("key", "text", "range").agg(F.count("*").alias("copies")).select("key", "text", "range", "copies"))
+    own = once.repartition("range").select("key", "range", "copies", "text", F.col("key.id").alias("id")).select("key", "range", "copies", payload.alias("own"))
+    found = own.withColumn("next", F.lead("own").over(Window.partitionBy("range").orderBy("key"))).join(heads, "range", "left")
+    copies = F.array_repeat(F.col("own"), (F.col("copies") - 1).cast("int"))
+    return found.select("own", F.explode(F.concat(copies, F.array(F.coalesce("next", "head")))).alias("next"))
 
 
 def fingerprint_with_edits(docs: DataFrame) -> DataFrame:
     """Each document's fingerprint, that of its edited text, and their likeness."""
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    own = docs.select("doc_id", text.alias("text")).withColumn("kept", winnow(F.col("text")))
-    both = with_successor(own, ["text", "kept"])
     half = F.floor(F.length("text") / 2).cast("int")
     edited = F.concat(F.left("text", F.length("text") - half), F.left("next_text", half))
-    both = both.withColumn("edited", edited).select("doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), "kept", "next_kept", winnow(F.col("edited")).alias("edited_kept"))
-    return both.select(
+    found = with_successor(docs, winnow).select(F.col("own.id").alias("doc_id"), F.col("own.text").alias("text"), F.col("next.text").alias("next_text"), F.col("own.made").alias("kept"), F.col("next.made").alias("next_kept"))
+    found = found.withColumn("edited", edited).select("doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), "kept", "next_kept", winnow(F.col("edited")).alias("edited_kept"))
+    return found.select(
         "doc_id", "n_chars", "edited_sha256", listed(F.col("kept")).alias("fingerprint"), listed(F.col("edited_kept")).alias("edited_fingerprint"),
         likeness(hashes(F.col("kept")), hashes(F.col("edited_kept"))).alias("near_edited"), likeness(hashes(F.col("kept")), hashes(F.col("next_kept"))).alias("near_next"),
     )
