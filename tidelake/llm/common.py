@@ -70,7 +70,7 @@ def discard(spark: SparkSession, path: str) -> None:
 
 
 #: Keys with more rows than this, and than the HOT_KEYS-th part of all rows, are looked up by broadcast.
-HOT_ROWS, HOT_KEYS = 1000, 100_000
+HOT_ROWS, HOT_KEYS = 20_000, 100_000
 
 
 def lookup(rows: DataFrame, found: DataFrame, key: str, total: int) -> DataFrame:
@@ -80,6 +80,8 @@ def lookup(rows: DataFrame, found: DataFrame, key: str, total: int) -> DataFrame
     than that part of the ``total`` rows, so those are broadcast, and no task gets all rows of one.
     """
     limit = max(HOT_ROWS, total // HOT_KEYS)
+    if total <= limit:  # no key can be frequent
+        return rows.join(found.drop("n"), key)
     hot, rare = F.broadcast(found.where(F.col("n") > limit).drop("n")), found.where(F.col("n") <= limit).drop("n")
     return rows.join(hot.select(key), key, "left_anti").join(rare, key).unionByName(rows.join(hot, key))
 

@@ -9,9 +9,8 @@ two similar sets share at least min(``shared`` of each) grams among the first
 enough of its first grams are in another text; few are left.  The next orders
 what is left by frequency, rarest first, so that common passages come last, and
 pairs texts that share one of their first grams and are in different components:
-first each gram's first text with the others, then each with the nearest one,
-then all that is left.  Early steps give at most one pair for each text and gram, and unite
-large groups, so that the last has little to do.  Pairs whose parity bits
+first each with the nearest one, then all that is left.  The first gives at most
+one pair for each text and gram, and unites large groups, so that the last has little to do.  Pairs whose parity bits
 differ too much can't be similar and don't go on.  Every other pair is confirmed by the similarity of its sets before it links.
 
 Defined results: case and white space don't count; null text is empty; a text of
@@ -164,7 +163,7 @@ def components(docs: DataFrame, text_col: str = "text", size: int = SHINGLE, sim
             yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (gram, text, n)], ["gram", "node", "n"])
 
     def pairs_of(batches, step):
-        """Pairs of texts of different components that share a gram: with its first text, with the nearest one, or all."""
+        """Pairs of texts of different components that share a gram: each with the nearest one, or all."""
         for gram, text, n, root, *bits in whole_keys(batches):
             bits = np.stack(bits, axis=1).view(np.uint64)
             a, b = [], []
@@ -174,7 +173,7 @@ def components(docs: DataFrame, text_col: str = "text", size: int = SHINGLE, sim
                     continue
                 roots, count = np.unique(r, return_counts=True)
                 main = r == roots[count.argmax()]  # pairs within the largest component needn't be looked at
-                asked = np.flatnonzero(~main) if step else np.zeros(1, np.int64)
+                asked = np.flatnonzero(~main)
                 for i in np.array_split(asked, -(-len(asked) * many // PAIRS)):
                     apart = np.zeros((len(i), many), np.int64)
                     for w in range(p.shape[1]):
@@ -184,7 +183,7 @@ def components(docs: DataFrame, text_col: str = "text", size: int = SHINGLE, sim
                     if step == "nearest":
                         best = np.where(near, apart, 1 << 20).argmin(axis=1)
                         near &= np.arange(many) == best[:, None]
-                    elif step:
+                    else:
                         near &= main | (np.arange(many) > i[:, None])
                     x, y = np.nonzero(near)
                     a.append(t[i[x]])
@@ -205,7 +204,7 @@ def components(docs: DataFrame, text_col: str = "text", size: int = SHINGLE, sim
         return connected(found.unionByName(materialize(similar_pairs(pairs, sets, similarity), "similar")))
 
     found = connected(materialize(similar_pairs(links_within(sets.select("fp", "node")), sets, similarity), "similar"))
-    for step in ("", "nearest", "rest"):
+    for step in ("nearest", "rest"):
         roots = found.select(F.col("a").alias("node"), F.col("b").alias("root"))
         rooted = entries.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         by_gram = rooted.select("gram", "node", "n", "root", *BITS).repartition("gram").sortWithinPartitions("gram", "node")
