@@ -135,9 +135,11 @@ def with_successor(docs: DataFrame, made=None, id_col: str = "doc_id", text_col:
     payload = F.struct("id", "text", *([made(F.col("text")).alias("made")] if made else []))
     heads = heads.select(before.alias("range"), "text", F.col("key.id").alias("id")).select("range", payload.alias("head"))
 
+    once = placed.select("key", "text", "range", F.lit(1).cast("long").alias("copies"))
     copied = F.broadcast(keys.where(F.col("n") > each * 8).select("key"))  # at most one in 8 * ``each`` rows
-    once = placed.join(copied, "key", "left_anti").select("key", "text", "range", F.lit(1).cast("long").alias("copies"))
-    once = once.union(placed.join(copied, "key", "left_semi").groupBy("key", "text", "range").agg(F.count("*").alias("copies")).select("key", "text", "range", "copies"))
+    if not copied.isEmpty():
+        alike = placed.join(copied, "key", "left_semi").groupBy("key", "text", "range").agg(F.count("*").alias("copies"))
+        once = once.join(copied, "key", "left_anti").union(alike.select(once.columns))
     own = once.repartition("range").select("key", "range", "copies", "text", F.col("key.id").alias("id")).select("key", "range", "copies", payload.alias("own"))
     found = own.withColumn("next", F.lead("own").over(Window.partitionBy("range").orderBy("key"))).join(heads, "range", "left")
     copies = F.array_repeat(F.col("own"), (F.col("copies") - 1).cast("int"))
