@@ -101,7 +101,7 @@ def test_drift_and_guardrail(spark):
 def test_checks(spark):
     a = spark.createDataFrame([(1, None), (1, None), (2, "x")], "k int, g string")
     context = recon.CheckContext(lambda: a, lambda: a.where("k = 1"), ("k",))
-    found = recon.run_checks("t", context, [{"type": "plain_count"}, {"type": "plain_count", "thresholds": {"absolute": 1, "percent": 50}}, {"type": "group_count", "group_by": ["g"]}, {"type": "pk_uniqueness"}, {"type": "odd"}])
+    found = recon.run_checks("t", context, [{"type": "plain_count"}, {"type": "plain_count", "threshold": {"absolute": 1, "percent": 50}}, {"type": "group_count", "group_by": ["g"]}, {"type": "pk_uniqueness"}, {"type": "odd"}])
     assert [r.status for r in found] == ["fail", "pass", "fail", "fail", "error"]
     assert recon.summary(found)["fail"] == 3 and recon.exit_code(found, True) == 2 and recon.exit_code(found) == 0
     assert recon.count_status(0, 0, 0, 5) == "pass" and recon.count_status(10, 9, 0, 50) == "fail"

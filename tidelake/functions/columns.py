@@ -77,18 +77,25 @@ def plain_number(value) -> str:
         return ""
 
 
+def whole(value) -> int:
+    """A stored integer, or numeric text, exactly; a fraction is cut off."""
+    from decimal import Decimal
+
+    return int(Decimal(str(value).strip()))
+
+
 def before_watermark(watermark: str, seconds: int, kind: str | None) -> str:
     """A watermark ``seconds`` earlier; integers don't go below zero, and no seconds change nothing."""
     if not seconds:
         return watermark
     if is_integer_watermark(kind):
-        return str(max(0, int(watermark) - seconds * (1000 if kind == "epoch_millis" else 1)))
+        return str(max(0, whole(watermark) - seconds * (1000 if kind == "epoch_millis" else 1)))
     return (datetime.fromisoformat(watermark[:19].replace("T", " ")) - timedelta(seconds=seconds)).strftime("%Y-%m-%d %H:%M:%S")
 
 
 def watermark_literal(value: str, kind: str | None) -> Column:
     """A stored watermark as a typed literal."""
-    return F.lit(int(float(value))).cast("long") if is_integer_watermark(kind) else F.lit(value).cast("timestamp_ntz")
+    return F.lit(whole(value)).cast("long") if is_integer_watermark(kind) else F.lit(value).cast("timestamp_ntz")
 
 
 def watermark_value(column: str, kind: str | None) -> Column:

@@ -11,14 +11,17 @@ import hashlib
 import time
 import uuid
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from tidelake.functions.columns import partition_name, partition_value
+from tidelake.functions.columns import parse_transform, partition_name, partition_value, watermark_value
 from tidelake.functions.names import qualified, table_identifier
 from tidelake.operators import upsert
 from tidelake.plans.slicing import Slice
+from tidelake.sources import files
 from tidelake.sources.storage import Storage
 
 
@@ -63,35 +66,53 @@ class Landing:
         self.storage, self.format, self.compression = Storage(spark), format_, compression
 
     def write_raw(self, df: DataFrame, load_date: str) -> dict:
-        """Overwrite a day's raw folder; an empty frame leaves metrics only and reports ``skipped``."""
+        """Put rows in place of a day's raw folder; an empty frame leaves the folder as it is, writes metrics and reports ``skipped``."""
         path = self.zones.raw(load_date)
         beside = f"{self.zones.raw_base}/_incoming-{uuid.uuid4().hex}"
         found = write_counted(df, beside, format_=self.format, compression=self.compression)
-        self.storage.delete(path)
         if found["rows"]:
-            self.storage.rename(beside, path)
+            self.storage.swap(beside, path)
         else:
             self.storage.delete(beside)
         self.storage.write_json(f"{self.zones.raw_base}/_METRICS-{load_date}.json", found)
         return {"status": "written" if found["rows"] else "skipped", "location": path} | found
 
+    def append_raw(self, staged: str, load_date: str) -> str:
+        """Add one staged slice's rows to a day's raw folder; a second time changes nothing, even after a crash on another day.
+
+        The day is noted in the slice first, and the files bear the slice's name, so those of a broken run are replaced.
+        """
+        day = (self.storage.read_json(f"{staged}/_RAW.json") or {}).get("load_date") or load_date
+        self.storage.write_json(f"{staged}/_RAW.json", {"load_date": day})
+        name, target = staged.rsplit("/", 1)[-1], self.zones.raw(day)
+        beside = f"{self.zones.raw_base}/_incoming-{name}"
+        self.storage.delete(beside)
+        files.slices(self.spark, [staged], self.format).write.format(self.format).option("compression", self.compression).save(beside)
+        for old in self.storage.names(target):
+            if old.startswith(f"{name}-"):
+                self.storage.delete(f"{target}/{old}")
+        for part in self.storage.names(beside):
+            if part.startswith("part-"):
+                self.storage.rename(f"{beside}/{part}", f"{target}/{name}-{part}")
+        self.storage.delete(beside)
+        return day
+
     def finalize(self, load_date: str) -> str:
         """Copy a day's raw rows to the final folder; the old one stands aside until the new one is in place."""
-        final, fresh, old = self.zones.final, f"{self.zones.final}__new", f"{self.zones.final}__old"
-        for leftover in (fresh, old):
-            self.storage.delete(leftover)
+        final, fresh = self.zones.final, f"{self.zones.final}__new"
+        self.storage.recover(final)
+        self.storage.delete(fresh)
         self.spark.read.format(self.format).load(self.zones.raw(load_date)).write.format(self.format).option("compression", self.compression).save(fresh)
-        if self.storage.exists(final):
-            self.storage.rename(final, old)
-        try:
-            self.storage.rename(fresh, final)
-        except OSError:
-            if self.storage.exists(old):
-                self.storage.rename(old, final)
-            raise
-        self.storage.delete(old)
+        self.storage.swap(fresh, final)
         return final
 
+    def latest_watermark(self, column: str, kind: str | None) -> str | None:
+        """The greatest value of a column over all raw days; None where there are none, or no such column."""
+        if not self.storage.exists(self.zones.raw_base):
+            return None
+        raw = files.raw_base(self.spark, self.zones.raw_base, self.format)
+        return files.scalar(raw.agg(F.max(watermark_value(column, kind)).cast("string"))) if column in raw.columns else None
+
     # staged slices
 
     def slices_dir(self, column: str) -> str:
@@ -132,7 +153,11 @@ class Landing:
 
 
 class VersionedTable:
-    """A keyed table of parquet versions with a pointer to the current one."""
+    """A keyed table of parquet folders with a pointer to the current ones.
+
+    A version adds its own folders (one for each partition); the pointer lists all that
+    the table consists of, so a merge rewrites only those that hold matched keys.
+    """
 
     def __init__(self, spark: SparkSession, root: str, schema: str, table: str, spec: list[str] | None = None):
         self.spark, self.storage = spark, Storage(spark)
@@ -141,7 +166,10 @@ class VersionedTable:
 
     @property
     def pointer(self) -> dict | None:
-        return self.storage.read_json(f"{self.path}/_CURRENT.json")
+        found = self.storage.read_json(f"{self.path}/_CURRENT.json")
+        if found is None and any(n.startswith("v-") for n in self.storage.names(self.path)):
+            raise FileNotFoundError(f"{self.path} has versions, but no pointer to the current one")
+        return found
 
     def exists(self) -> bool:
         return self.pointer is not None
@@ -149,45 +177,112 @@ class VersionedTable:
     def partition_spec(self) -> list[str]:
         return self.spec if self.spec is not None else (self.pointer or {}).get("spec", [])
 
-    def read(self) -> DataFrame:
+    def read(self, folders: list[str] | None = None) -> DataFrame:
+        """The current rows, or those of some of the table's folders."""
         p = self.pointer
         if p is None:
             raise FileNotFoundError(self.path)
-        df = self.spark.read.parquet(f"{self.path}/{p['version']}")
-        return df.select(*p["columns"])
-
-    def publish(self, df: DataFrame, keep: int = 1) -> dict:
-        """A new version from ``df``; then the pointer moves, and all but ``keep`` older versions go."""
+        schema = StructType.fromJson(p["schema"])
+        where = [f"{self.path}/{f}" for f in (p["folders"] if folders is None else folders)]
+        return self.spark.read.schema(schema).parquet(*where) if where else self.spark.createDataFrame([], schema)
+
+    def _leaves(self, folder: str) -> list[str]:
+        """Folders of files under one of the table's folders."""
+        names = self.storage.names(f"{self.path}/{folder}")
+        inner = [n for n in names if "=" in n and not n.startswith(".")]
+        return [x for n in inner for x in self._leaves(f"{folder}/{n}")] or ([folder] if any(n.startswith("part-") for n in names) else [])
+
+    def publish(self, df: DataFrame, keep: int = 1, beside: list[str] | None = None) -> dict:
+        """A new version from ``df`` and, if given, the folders ``beside`` it; then the pointer moves, and all but ``keep`` older versions go."""
         before, spec = self.pointer, self.partition_spec()
         version, columns = f"v-{time.time_ns():020d}-{uuid.uuid4().hex[:6]}", df.columns
         made = {partition_name(s): partition_value(s) for s in spec}
         names = [n if n not in columns else f"_p_{n}" for n in made]
         laid = df.withColumns(dict(zip(names, made.values()))) if made else df
         if names:
-            laid = laid.hint("rebalance", *names)  # a partition's rows meet, but AQE splits one that is too large for a task
+            laid = laid.hint("rebalance", *(f"`{n}`" for n in names))  # a partition's rows meet, but AQE splits one that is too large for a task
         seen = Observation(f"publish-{version}")
         writer = laid.observe(seen, F.count(F.lit(1)).alias("rows")).write
         (writer.partitionBy(*names) if names else writer).parquet(f"{self.path}/{version}")
-        found = {"version": version, "spec": spec, "columns": columns, "rows": seen.get.get("rows", 0), "previous": (before or {}).get("version")}
-        self.storage.write_json(f"{self.path}/_CURRENT.json", found)
-        versions = [n for n in self.storage.names(self.path) if n.startswith("v-") and n != version]
-        for old in versions[: max(0, len(versions) - keep)]:
-            self.storage.delete(f"{self.path}/{old}")
-        return found
+        found = {"version": version, "spec": spec, "columns": columns, "schema": df.schema.jsonValue(), "folders": [*(beside or []), *self._leaves(version)], "written": seen.get.get("rows", 0)}
+        older = [{k: v for k, v in b.items() if k != "older"} for b in ([before, *before.get("older", [])] if before else [])][:keep]
+        self.storage.write_json(f"{self.path}/_CURRENT.json", found | {"older": older})
+        used = {f for v in (found, *older) for f in v["folders"]}
+        for name in self.storage.names(self.path):
+            if name.startswith("v-") and name != version and not any(f.split("/")[0] == name for f in used):
+                self.storage.delete(f"{self.path}/{name}")
+        return found | {"rows": found["written"]}
+
+    def holding(self, source: DataFrame, keys: list[str]) -> list[str]:
+        """The table's folders that hold a key of ``source``; only the keys are read."""
+        named = self.read().select(*keys, F.col("_metadata.file_path").alias("_file"))
+        found = named.join(source.select(*keys), keys, "left_semi").select(F.regexp_extract("_file", r"/(v-[0-9]+-[0-9a-f]+(?:/[^/]+)*)/[^/]+$", 1).alias("f")).distinct()
+        return [unquote(r["f"]) for r in found.collect()]  # bounded by the table's folders
 
     def merge(self, source: DataFrame, keys: list[str], order: list[str], target_filter: str | None = None, newer: str | None = None) -> dict:
-        """Upsert a deduplicated source; a table that isn't there yet is made from it."""
+        """Upsert a deduplicated source; a table that isn't there yet is made from it.
+
+        Folders without a matched key stay as they are, and new rows go beside them.
+        """
         if not self.exists():
             return self.publish(upsert.dedup_latest(source, keys, order))
-        return self.publish(upsert.merge_upsert(self.read(), source, keys, target_filter=target_filter, order=order, newer=newer))
+        touched = set(self.holding(source, keys))
+        merged = upsert.merge_upsert(self.read(sorted(touched)), source, keys, target_filter=target_filter, order=order, newer=newer)
+        return self.publish(merged, beside=[f for f in self.pointer["folders"] if f not in touched])
 
     def roll_back(self) -> None:
         """Back to the version before, if it is still there."""
         p = self.pointer
-        if not p or not p["previous"] or not self.storage.exists(f"{self.path}/{p['previous']}"):
+        if not p or not p.get("older"):
             raise FileNotFoundError("no version to go back to")
-        columns = [c for c in self.spark.read.parquet(f"{self.path}/{p['previous']}").columns if c in p["columns"]]
-        self.storage.write_json(f"{self.path}/_CURRENT.json", p | {"version": p["previous"], "previous": None, "columns": columns})
+        before, *older = p["older"]
+        self.storage.write_json(f"{self.path}/_CURRENT.json", before | {"older": older})
+
+
+class CatalogTable:
+    """A table of a catalog whose format has ``MERGE``; it is made from the first increment, with its partitions."""
+
+    def __init__(self, spark: SparkSession, name: str, format_: str, spec: list[str] | None = None):
+        self.spark, self.name, self.format, self.spec = spark, name, format_, spec or []
+
+    def exists(self) -> bool:
+        return self.spark.catalog.tableExists(self.name)
+
+    def read(self) -> DataFrame:
+        return self.spark.table(self.name)
+
+    def partition_spec(self) -> list[str]:
+        return self.spec
+
+    def ensure(self, df: DataFrame) -> None:
+        """Namespace and table, if they aren't there."""
+        if "." in self.name:
+            self.spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {'.'.join(qualified(p) for p in self.name.split('.')[:-1])}")
+        if not self.exists():
+            writer = df.limit(0).writeTo(self.name).using(self.format)
+            (writer.partitionedBy(*(F.expr(s) if "(" not in s else catalog_transform(s) for s in self.spec)) if self.spec else writer).create()
+
+    def merge(self, source: DataFrame, keys: list[str], order: list[str], target_filter: str | None = None, newer: str | None = None) -> dict:
+        latest = upsert.dedup_latest(source, keys, order)
+        self.ensure(latest)
+        upsert.merge_into(latest, self.name, keys, target_filter=target_filter, newer=newer)
+        return {"table": self.name}
+
+
+def catalog_transform(spec: str):
+    """A partition transform as catalogs have it."""
+    name, column, number = parse_transform(spec)
+    of = {"year": F.partitioning.years, "month": F.partitioning.months, "day": F.partitioning.days}
+    if name.rstrip("s") in of:
+        return of[name.rstrip("s")](column)
+    return F.partitioning.bucket(number, column) if name == "bucket" else F.expr(spec)
+
+
+def set_up_catalog(spark: SparkSession, name: str, settings: dict[str, str]) -> None:
+    """Name a catalog's implementation and options in the session; what is set already stays."""
+    for key, value in {"": settings.get("implementation"), **{f".{k}": v for k, v in settings.items() if k != "implementation"}}.items():
+        if value is not None and spark.conf.get(f"spark.sql.catalog.{name}{key}", None) is None:
+            spark.conf.set(f"spark.sql.catalog.{name}{key}", value)
 
 
 def mirror(spark: SparkSession, table: VersionedTable, root: str, day: str, column: str = "load_date", hive: dict | None = None) -> dict:
@@ -235,3 +330,27 @@ def add_partition(spark: SparkSession, db: str, name: str, column: str, value: s
 
 def set_location(spark: SparkSession, db: str, name: str, location: str) -> None:
     spark.sql(f"ALTER TABLE {qualified(db, name)} SET LOCATION '{location}'")
+
+
+def create_external_if_absent(spark: SparkSession, db: str, name: str, location: str, schema: StructType, partition: str | None = None) -> bool:
+    """Register an empty external table of a known schema before its folder has files; False if it is there already."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {qualified(db)}")
+    if spark.catalog.tableExists(f"{db}.{name}"):
+        return False
+    spark.sql(external_table_ddl(db, name, schema, location, partition))
+    return True
+
+
+def write_dataset(df: DataFrame, path: str, format_: str = "parquet", mode: str = "overwrite", **options: str) -> None:
+    df.write.format(format_).mode(mode).options(**options).save(path)
+
+
+def copy_with_names(spark: SparkSession, source: str, target: str, rename=str.lower) -> int:
+    """Copy a table to one whose columns have other (by default lower-case) names; how many rows.  Names that would meet are an error."""
+    df = spark.table(source)
+    names = [rename(c) for c in df.columns]
+    if len({n.lower() for n in names}) < len(names):
+        raise ValueError(f"columns of {source} would have equal names")
+    seen = Observation(f"copy-{uuid.uuid4().hex}")
+    df.toDF(*names).observe(seen, F.count(F.lit(1)).alias("rows")).write.format("parquet").mode("errorifexists").saveAsTable(target)
+    return seen.get.get("rows", 0)

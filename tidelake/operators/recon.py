@@ -6,10 +6,11 @@ come to the driver.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 SAMPLE = 20
@@ -58,6 +59,13 @@ def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1")
 
 
+def counted_sample(df: DataFrame, order: list[str]) -> tuple[int, list[dict]]:
+    """How many rows there are, and the first of them, from one pass."""
+    seen = Observation(f"sample-{uuid.uuid4().hex}")
+    rows = df.observe(seen, F.count(F.lit(1)).alias("n")).orderBy(*order).limit(SAMPLE).collect()
+    return seen.get.get("n", 0) if rows else 0, [r.asDict() for r in rows]
+
+
 @dataclass(frozen=True)
 class CheckContext:
     source: Callable[[], DataFrame]
@@ -86,7 +94,7 @@ def check(name: str):
 
 @check("plain_count")
 def _plain_count(context: CheckContext, config: dict) -> tuple[str, dict]:
-    thresholds = config.get("thresholds") or {}
+    thresholds = config.get("threshold") or {}
     row = plain_count(filtered(context.source(), config.get("filter")), filtered(context.target(), config.get("filter")), thresholds.get("absolute", 0), thresholds.get("percent")).first()
     return row["status"], row.asDict()
 
@@ -97,8 +105,7 @@ def _group_count(context: CheckContext, config: dict) -> tuple[str, dict]:
     if not keys:
         raise ValueError("group_count needs group_by")
     found = group_count(filtered(context.source(), config.get("filter")), filtered(context.target(), config.get("filter")), keys)
-    total = found.count()
-    sample = [r.asDict() for r in found.orderBy(*(f"key_{i}" for i in range(len(keys)))).limit(SAMPLE).collect()]
+    total, sample = counted_sample(found, [f"key_{i}" for i in range(len(keys))])
     return ("fail" if total else "pass"), {"differing_groups": total, "sample": sample}
 
 
@@ -110,9 +117,8 @@ def _pk_uniqueness(context: CheckContext, config: dict) -> tuple[str, dict]:
     details, bad = {}, False
     for side, df in (("source", context.source()), ("target", context.target())):
         found = duplicate_keys(filtered(df, config.get("filter")), keys)
-        total = found.count()
+        total, details[f"{side}_sample"] = counted_sample(found, keys)
         details[f"{side}_duplicates"] = total
-        details[f"{side}_sample"] = [r.asDict() for r in found.orderBy(*keys).limit(SAMPLE).collect()]
         bad |= total > 0
     return ("fail" if bad else "pass"), details
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NullType
@@ -80,15 +82,25 @@ def duplicates_by_filter(target: DataFrame, source: DataFrame, keys: list[str],
     return source.select(*keys).join(cold, keys, "left_semi").distinct()
 
 
-def merge_into(source: DataFrame, table: str, keys: list[str], frozen: tuple[str, ...] = ("load_date",)) -> None:
+def merge_statement(columns: list[str], table: str, view: str, keys: list[str], frozen: tuple[str, ...] = ("load_date",), target_filter: str | None = None, newer: str | None = None) -> str:
+    """The same upsert as a ``MERGE`` of a view into a table."""
+    q = lambda side, c: f"{side}.`{c}`"
+    on = " AND ".join([f"{q('t', k)} = {q('s', k)}" for k in keys] + ([f"({target_filter})"] if target_filter else []))
+    fresh = f" AND ({q('s', newer)} >= {q('t', newer)} OR {q('t', newer)} IS NULL)" if newer else ""
+    updates = ", ".join(f"{q('t', c)} = {q('s', c)}" for c in columns if c not in keys and c not in frozen)
+    matched = f" WHEN MATCHED{fresh} THEN UPDATE SET {updates}" if updates else ""
+    names = ", ".join(f"`{c}`" for c in columns)
+    return f"MERGE INTO {table} t USING {view} s ON {on}{matched} WHEN NOT MATCHED THEN INSERT ({names}) VALUES ({', '.join(q('s', c) for c in columns)})"
+
+
+def merge_into(source: DataFrame, table: str, keys: list[str], frozen: tuple[str, ...] = ("load_date",), target_filter: str | None = None, newer: str | None = None) -> None:
     """The same upsert by ``MERGE``, for table formats that have it."""
-    t, s = F.col, lambda c: F.col(f"{source_alias}.{c}")
-    source_alias = "s"
-    on = None
-    for k in keys:
-        term = t(f"{table}.{k}") == s(k)
-        on = term if on is None else on & term
-    source.alias(source_alias).mergeInto(table, on).whenMatched().update({c: s(c) for c in source.columns if c not in keys and c not in frozen}).whenNotMatched().insertAll().merge()
+    view = f"_merge_{uuid.uuid4().hex}"
+    source.createOrReplaceTempView(view)
+    try:
+        source.sparkSession.sql(merge_statement(source.columns, table, view, keys, frozen, target_filter, newer))
+    finally:
+        source.sparkSession.catalog.dropTempView(view)
 
 
 def new_watermark(df: DataFrame, column: str, kind: str | None) -> DataFrame:

@@ -6,14 +6,13 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
-from pyspark import InheritableThread  # noqa: F401  (threads below inherit job groups through local properties)
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelake.events import Bus, Event
 from tidelake.functions.columns import before_watermark, with_derived, with_ingest_columns
 from tidelake.operators import profile, upsert
-from tidelake.operators.lake import Landing, VersionedTable
+from tidelake.operators.lake import Landing, VersionedTable, register_external, set_location
 from tidelake.operators.state import StateStore
 from tidelake.plans.slicing import Slice, SlicingPolicy, plan_slices
 from tidelake.sources import files
@@ -60,7 +59,12 @@ class Loader:
                 return out | {"skipped": True, "reason": "empty"}
         if self.config.get("finalize_full_refresh", True):
             mark("finalize", "started")
-            self.landing.finalize(load_date)
+            if self.config.get("finalize_strategy") == "hive_set_location" and (hive := self.config.get("hive") or {}).get("enabled"):
+                out["final"] = out["raw"]
+                register_external(self.spark, hive["db"], self.name, out["raw"])
+                set_location(self.spark, hive["db"], self.name, out["raw"])
+            else:
+                self.landing.finalize(load_date)
             mark("finalize", "success", location=out["final"])
             out["finalized"] = True
         return out
@@ -96,7 +100,8 @@ class Loader:
                     dated = source.withColumn("load_date", F.to_date(F.lit(load_date)))
                     self.table.merge(dated, keys, [column, "load_timestamp"], c.get("merge_filter"), newer=column)
                 mark("intermediate", "success", rows_written=rows)
-                source.write.mode("append").parquet(self.landing.zones.raw(load_date))
+                for path in waiting:
+                    self.landing.append_raw(path, load_date)
             self.landing.mark_landed(waiting)
             mark("raw", "success" if rows else "skipped", rows_written=rows)
             if found["watermark"] is not None:

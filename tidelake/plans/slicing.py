@@ -7,7 +7,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta
 
-from tidelake.functions.columns import is_integer_watermark
+from tidelake.functions.columns import is_integer_watermark, whole
 
 
 @dataclass(frozen=True)
@@ -52,7 +52,7 @@ def now_literal(kind: str | None, now: datetime) -> str | None:
 def cut(lower: str, upper: str, kind: str | None, parts: int) -> tuple[Slice, ...]:
     """``parts`` slices of equal width; the last ends at ``upper``.  Times are cut to whole seconds."""
     if is_integer_watermark(kind):
-        lo, hi = int(float(lower)), int(float(upper))
+        lo, hi = whole(lower), whole(upper)
         step = max(1, (hi - lo) // parts)
         show, add = str, lambda i: lo + step * i
     else:
@@ -74,7 +74,7 @@ def plan_slices(lower: str | None, kind: str | None, count: Callable[[str, str |
         return LoadPlan((Slice(lower, upper),), upper, rows)
     long_span = False
     if policy.max_hours:
-        span = (int(upper) - int(float(lower))) / (1000 if kind == "epoch_millis" else 1) if is_integer_watermark(kind) else (datetime.fromisoformat(upper) - datetime.fromisoformat(lower)).total_seconds()
+        span = (int(upper) - whole(lower)) / (1000 if kind == "epoch_millis" else 1) if is_integer_watermark(kind) else (datetime.fromisoformat(upper) - datetime.fromisoformat(lower)).total_seconds()
         long_span = span > 3600 * policy.max_hours and rows > policy.target_rows
     if rows <= policy.max_count and not long_span:
         return LoadPlan((Slice(lower, upper),), upper, rows)

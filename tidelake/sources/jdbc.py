@@ -11,7 +11,7 @@ from dataclasses import dataclass, field, replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelake.functions.columns import is_integer_watermark
+from tidelake.functions.columns import is_integer_watermark, whole
 from tidelake.functions.names import qualified, quoted, text_literal
 from tidelake.plans.query_plan import QueryPlan, QueryResult, SelectItem
 from tidelake.plans.slicing import Slice
@@ -29,7 +29,7 @@ class Dialect:
 
     def literal(self, value: str, kind: str | None) -> str:
         if is_integer_watermark(kind):
-            return str(int(float(value)))
+            return str(whole(value))
         return text_literal(value)
 
     def as_text(self, column: str) -> str:
@@ -181,6 +181,6 @@ class JdbcTable:
 def in_range(df: DataFrame, column: str, part: Slice, kind: str | None) -> DataFrame:
     """Rows with lower < column <= upper."""
     as_type = "long" if is_integer_watermark(kind) else df.schema[column].dataType.simpleString()
-    bound = lambda v: F.lit(int(float(v))).cast("long") if as_type == "long" else F.lit(v).cast(as_type)
+    bound = lambda v: F.lit(whole(v)).cast("long") if as_type == "long" else F.lit(v).cast(as_type)
     out = df.where(F.col(column) > bound(part.lower))
     return out if part.upper is None else out.where(F.col(column) <= bound(part.upper))

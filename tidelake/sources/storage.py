@@ -48,17 +48,45 @@ class Storage:
             stream.close()
 
     def write_text(self, path: str, text: str) -> None:
-        """Whole or not at all: written beside, then renamed."""
+        """Whole or not at all: written beside, then renamed over what is there, so a reader always finds the old text or the new."""
         fs, p = self._of(path)
         _, beside = self._of(f"{path}.{uuid.uuid4().hex}.tmp")
+        local = fs.getUri().getScheme() == "file"
+        fs = fs.getRawFileSystem() if local else fs  # without checksum files, whose rename would be a second step
         stream = fs.create(beside, True)
         try:
             stream.write(bytearray(text.encode()))
         finally:
             stream.close()
-        fs.delete(p, False)
-        if not fs.rename(beside, p):
-            raise OSError(f"{path} couldn't be written")
+        if local:  # a rename there replaces the target
+            if not fs.rename(beside, p):
+                raise OSError(f"{path} couldn't be written")
+            return
+        kind = self.jvm.java.lang.Class.forName("org.apache.hadoop.fs.Options$Rename")
+        over = self.jvm.java.lang.reflect.Array.newInstance(kind, 1)
+        over[0] = next(o for o in kind.getEnumConstants() if o.toString() == "OVERWRITE")
+        self.jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), self.conf).rename(fs.makeQualified(beside), fs.makeQualified(p), over)
+
+    def swap(self, fresh: str, path: str) -> None:
+        """Put a folder in another's place; the old one stands aside until the new one is there, and comes back if that fails."""
+        self.recover(path)
+        if self.exists(path):
+            self.rename(path, f"{path}__old")
+        try:
+            self.rename(fresh, path)
+        except Exception:
+            self.recover(path)
+            raise
+        self.delete(f"{path}__old")
+
+    def recover(self, path: str) -> None:
+        """After a swap that broke off: the old folder is put back if it is the only one, else it goes."""
+        old = f"{path}__old"
+        if self.exists(old):
+            if self.exists(path):
+                self.delete(old)
+            else:
+                self.rename(old, path)
 
     def read_json(self, path: str, default=None):
         return json.loads(self.read_text(path)) if self.exists(path) else default
