@@ -63,7 +63,7 @@ def test_full_and_log(spark, setup, capsys):
     assert json.loads(lines[-1])["results"][0]["finalized"] and spark.read.parquet(f"{root}/final/T2").count() == 100
     with open(f"{root}/log.jsonl", "w") as f:
         f.write("\n".join([*lines[:-1], "not json"]))
-    assert cli.main(["watch", "--log-file", f"{root}/log.jsonl"]) == 0 and "success" in capsys.readouterr().out
+    assert cli.main(["watch", "--log-file", f"{root}/log.jsonl", "--once"]) == 0 and "success" in capsys.readouterr().out
     assert cli.main(["failures", "--log-file", f"{root}/log.jsonl"]) == 0
     assert cli.main(["ingest", "--config", full, "--dump-orchestration-plan"]) == 0
 

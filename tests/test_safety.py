@@ -133,3 +133,37 @@ def test_copy_with_names(spark):
     finally:
         for t in ("named_a", "named_b"):
             spark.sql(f"DROP TABLE IF EXISTS {t}")
+
+
+def test_options_of_a_backfill_and_of_reloads():
+    from tidelake import cli, config, orchestration
+    from tidelake.operators.profile import types_match
+
+    tables = [{"schema": "A", "table": "B"}, {"schema": "C", "table": "D"}]
+    assert cli.to_reload(None, tables) == set() and cli.to_reload("*", tables) == {"a.b", "c.d"} == cli.to_reload("", tables) and cli.to_reload("a.B", tables) == {"a.b"}
+    assert cli.days("2024-03-01", None, None) == ["2024-03-01"] and cli.days("x", "2024-02-28", "2024-03-01") == ["2024-02-28", "2024-02-29", "2024-03-01"]
+    with pytest.raises(config.ConfigError):
+        cli.days("x", "2024-02-02", "2024-02-01")
+    made = orchestration.plan({"runtime": {"orchestration": {"mode": "temporal", "temporal": {"namespace": "n", "task_queue": "q", "workflow": "w", "schedule": {"cron": "1 * * * *"}}}}}, ("--x",), "r")
+    assert made["schedule"] == {"type": "temporal_schedule", "cron": "1 * * * *", "timezone": "UTC"} and made["metadata"]["cron_schedule"] == "1 * * * *" and made["execution_command"][-1] == "--x"
+    assert orchestration.plan({"runtime": {"orchestration": {"mode": "airflow", "external": {"cron": "@daily", "retries": 2}}}})["schedule"]["expression"] == "@daily"
+    for a, b, lenient, strict in (("NUMBER", "decimal(10,0)", True, True), ("NUMBER(5)", "string", False, False), ("VARCHAR2", "string", True, True), ("DATE", "timestamp", True, False), ("int", "bigint", True, False), ("SDO_GEOMETRY", "geometry", True, False)):
+        assert (types_match(a, b), types_match(a, b, True)) == (lenient, strict), (a, b)
+
+
+def test_marks_of_a_broken_run_come_back(spark, tmp_path):
+    from tidelake.operators.state import StateStore
+    from tidelake.sources.storage import Outbox
+
+    store = lambda: StateStore(spark, f"{tmp_path}/state", "src", outbox=Outbox(Storage(spark), f"{tmp_path}/outbox"))
+    broken = store()
+    broken.mark("s", "t", "2024-01-01", "full", "raw", "success", rows_written=3)
+    broken.set_progress("s", "t", "7", "2024-01-01")
+    again = store()  # the first one never flushed
+    assert again.day_status("s", "t", "2024-01-01")["raw"] and again.progress("s", "t") == ("7", "2024-01-01")
+    broken.flush()  # and if it did after all, nothing counts twice
+    assert again.events().count() == 1 and again.watermarks().count() == 1
+    again.preload()
+    assert again.day_status("s", "t", "2024-01-01", "full")["raw"] and again.progress("s", "t") == ("7", "2024-01-01")
+    again.mark("s", "t", "2024-01-02", "full", "raw", "success")
+    assert again.day_status("s", "t", "2024-01-02")["raw"]

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidelake.functions.columns import partition_value, watermark_value, with_derived
 from tidelake.operators import profile, recon, state, telemetry, upsert
-from tidelake.plans.query_plan import OrderItem, QueryPlan, SelectItem
+from tidelake.plans.query_plan import OrderItem, QueryPlan, SelectItem, sql_over
 from tidelake.plans.slicing import Slice, cut
 from tidelake.sources.files import raw_increment
 from tidelake.sources.jdbc import in_range
@@ -85,7 +85,8 @@ def query_plan_group_having_order_limit(t, spark):
 
 @query("SELECT l_orderkey, l_linenumber, o_custkey, l_quantity FROM lineitem, orders WHERE l_orderkey = o_orderkey AND o_orderstatus = 'O'")
 def query_sql_join(t, spark):
-    return t("lineitem").join(t("orders").where("o_orderstatus = 'O'"), F.col("l_orderkey") == F.col("o_orderkey")).select("l_orderkey", "l_linenumber", "o_custkey", "l_quantity")
+    text = "SELECT l_orderkey, l_linenumber, o_custkey, l_quantity FROM {lineitem}, {orders} WHERE l_orderkey = o_orderkey AND o_orderstatus = 'O'"
+    return sql_over(spark, text, lineitem=t("lineitem"), orders=t("orders"))
 
 
 @query("SELECT event_id, CAST(date_trunc('month', ts) AS TIMESTAMP) AS month_start, strftime(ts, '%Y-%m') || '-' || event_type AS month_type FROM events")
@@ -99,9 +100,11 @@ def partition_transforms(t, spark):
     return t("orders").select("o_orderkey", partition_value("years(o_orderdate)").alias("y"), partition_value("month(o_orderdate)").alias("m"), partition_value("days(o_orderdate)").alias("d"), partition_value("truncate(3, o_orderpriority)").alias("p"))
 
 
-@query()
+@query("SELECT o_custkey, COUNT(*) AS n, CAST(1 AS BIGINT) AS buckets, true AS within FROM orders GROUP BY o_custkey")
 def partition_bucket(t, spark):
-    return t("orders").groupBy(partition_value("bucket(16, o_orderkey)").alias("bucket")).agg(F.count("*").alias("n"))
+    """A key's rows all go to one bucket, and buckets are 0 to 15."""
+    bucket = partition_value("bucket(16, o_custkey)")
+    return t("orders").withColumn("b", bucket).groupBy("o_custkey").agg(F.count("*").alias("n"), F.countDistinct("b").alias("buckets"), F.min(F.col("b").between(0, 15)).alias("within"))
 
 
 @query("SELECT event_id, ts, user_id, event_type FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS LAST, event_id DESC) AS r FROM events) WHERE r = 1")

@@ -64,7 +64,7 @@ def validate(config: dict) -> dict:
     schedule = runtime.get("orchestration") or {}
     need(isinstance(schedule, dict), "runtime.orchestration must be an object")
     mode = str(schedule.get("mode", "plain_cron")).lower()
-    need(mode in MODES, f"unknown orchestration mode {mode}")
+    need(mode in MODES, f"no schedules for mode {mode}")
     if mode == "temporal":
         missing = [k for k in ("namespace", "task_queue", "workflow") if not (schedule.get("temporal") or {}).get(k)]
         need(not missing, f"runtime.orchestration.temporal lacks {', '.join(missing)}")

@@ -61,11 +61,13 @@ def log_line(event: Event, job: str, run_id: str) -> str:
     return json.dumps({"ts": event.at.isoformat(), "level": "INFO", "job": job, "event": event.type, "run_id": run_id, **plain(event.payload)}, sort_keys=True)
 
 
-def state_subscriber(state) -> Callable[[Event], None]:
-    """Writes mark and watermark events to the state store."""
+def state_subscriber(state, schema: str | None = None, table: str | None = None) -> Callable[[Event], None]:
+    """Writes mark and watermark events to the state store; with a table, only that table's."""
 
     def hear(event: Event) -> None:
         p = dict(event.payload)
+        if table is not None and (p.get("schema"), p.get("table")) != (schema, table):
+            return
         if event.type == "state.mark":
             state.mark(p.pop("schema"), p.pop("table"), p.pop("load_date"), p.pop("mode"), p.pop("phase"), p.pop("status"), **p)
         elif event.type == "state.watermark":

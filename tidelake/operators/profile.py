@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -43,33 +44,35 @@ def fold_constraints(rows: DataFrame) -> DataFrame:
     return rows.groupBy("table_name", "constraint_name", "constraint_type").agg(F.array_join(F.transform(ordered, lambda s: s["column_name"]), ",").alias("columns"))
 
 
-NUMERIC = ("number", "numeric", "decimal", "float", "double", "int", "long", "short", "byte")
-TEXT = ("char", "varchar", "string", "text")
+#: Families of type names, databases' and Spark's.
+FAMILIES = {
+    "number": "number numeric decimal dec float double real binary_float binary_double int integer bigint smallint tinyint long short byte",
+    "text": "char nchar varchar varchar2 nvarchar nvarchar2 clob nclob text ntext string",
+    "time": "date datetime datetime2 smalldatetime timestamp timestamp_ntz timestamp_ltz", "binary": "blob raw binary varbinary image", "truth": "boolean bool bit",
+}
+FAMILY_OF = {name: family for family, names in FAMILIES.items() for name in names.split()}
+#: Bits of whole numbers.
+WIDTH = {"tinyint": 8, "byte": 8, "smallint": 16, "short": 16, "int": 32, "integer": 32, "bigint": 64, "long": 64}
 
 
 def types_match(expected: str | None, observed: str | None, strict: bool = False) -> bool:
-    """Do two type names belong together?  Unknown ones do.
+    """Do two type names belong together?  A missing one goes with all.
 
-    The lenient rule also takes one name within the other; ``strict`` compares families only and keeps integers of different width apart.
+    Types of one family do; ``strict`` keeps dates from timestamps and whole numbers of
+    different width apart.  A name of no family goes only with itself, or, unless ``strict``, with one that it is part of.
     """
     if not expected or not observed:
         return True
-    a, b = expected.strip().lower(), observed.strip().lower()
-    if a == b:
+    names = [t.strip().lower() for t in (expected, observed)]
+    if names[0] == names[1]:
         return True
-    if not strict and (a in b or b in a):
-        return True
-    def family(t: str) -> str | None:
-        if t.startswith("timestamp") or t == "date" and not strict:
-            return "time" if t.startswith("timestamp") else "date"
-        if any(m in t for m in TEXT):
-            return "text"
-        if any(m in t for m in NUMERIC):
-            return "whole:" + t if strict and any(m in t for m in ("int", "long", "short", "byte")) else "number"
-        return "date" if t.startswith("date") else None
-
-    fa, fb = family(a), family(b)
-    return fa is not None and fa == fb
+    bases = [re.match(r"[a-z0-9_]*", n)[0] for n in names]
+    families = {FAMILY_OF.get(b) for b in bases}
+    if None in families:
+        return not strict and (names[0] in names[1] or names[1] in names[0])
+    if strict and (len({WIDTH.get(b) for b in bases}) > 1 or len({b in ("date", "smalldate") for b in bases}) > 1):
+        return False
+    return len(families) == 1
 
 
 @dataclass(frozen=True)
@@ -167,31 +170,24 @@ def precision_guardrail(fields: list[dict] | None, max_precision: int | None = N
         return Guardrail("metadata_missing")
     if not isinstance(fields, list):
         return Guardrail("metadata_unusable")
-    limit, action = max_precision or 38, (action or "downcast").lower()
-    open_action = (open_action or action).lower()
-    casts, issues, fatal = {}, [], False
+    limit = max_precision or 38
+    refuse = {"declared": (action or "downcast").lower() == "fail"}
+    refuse["open"] = (open_action or action or "downcast").lower() == "fail"
+    casts, issues = {}, []
     for f in fields:
-        name, kind = f.get("name"), str(f.get("data_type") or "").upper()
-        if not name or kind not in NUMBER_TYPES:
+        name, precision = f.get("name"), f.get("precision")
+        if not name or str(f.get("data_type") or "").upper() not in NUMBER_TYPES:
             continue
-        precision, digits = f.get("precision"), observed_digits(f.get("statistics"))
-        why = []
-        if precision is not None and int(precision) > limit:
-            why.append(f"precision {precision} exceeds maximum {limit}")
-        if digits is not None and digits > limit:
-            why.append(f"observed values need {digits} digits, maximum {limit}")
-        if why:
-            fail = action == "fail"
-            fatal |= fail
-            issues.append({"column": name, "reason": "; ".join(why), "action": "fail" if fail else "cast_to_string"})
-            if not fail:
-                casts[name] = ()
-        elif precision is None and open_action == "fail":
-            fatal = True
-            issues.append({"column": name, "reason": "precision undefined", "action": "fail"})
-        elif precision is None and fallback:
-            casts[name] = tuple(fallback)
-            issues.append({"column": name, "reason": "precision undefined", "action": "cast_to_decimal"})
+        digits = {"declared precision": precision, "observed digits": observed_digits(f.get("statistics"))}
+        over = [f"{what} {n} of at most {limit}" for what, n in digits.items() if n is not None and int(n) > limit]
+        if over:
+            issues.append({"column": name, "reason": "; ".join(over), "action": "fail" if refuse["declared"] else "cast_to_string"})
+        elif precision is None and (refuse["open"] or fallback):
+            issues.append({"column": name, "reason": "no declared precision", "action": "fail" if refuse["open"] else "cast_to_decimal"})
+    for i in issues:
+        if i["action"] != "fail":
+            casts[i["column"]] = () if i["action"] == "cast_to_string" else tuple(fallback)
+    fatal = any(i["action"] == "fail" for i in issues)
     return Guardrail("fatal" if fatal else "adjusted" if issues else "ok", casts, tuple(issues))
 
 

@@ -10,6 +10,8 @@ from datetime import UTC, datetime
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidelake.sources.storage import Outbox, Storage
+
 EVENTS = "sourceId string, schema_name string, table_name string, load_date date, mode string, phase string, status string, rows_written bigint, watermark string, location string, strategy string, error string, metadata_json string, event_at string, run_id string, event_seq bigint, event_id string, ts timestamp_ntz"
 WATERMARKS = "sourceId string, schema_name string, table_name string, watermark string, last_loaded_date string, event_id string, updated_at timestamp_ntz"
 KNOWN = ("rows_written", "watermark", "location", "strategy", "error")
@@ -43,14 +45,24 @@ def split_extra(extra: dict, known: tuple[str, ...] = KNOWN) -> dict:
     return {k: extra[k] for k in known if k in extra} | ({"metadata_json": json.dumps(rest, sort_keys=True, separators=(",", ":"), default=str)} if rest else {})
 
 
+def revived(row: dict) -> dict:
+    """A row from the outbox's JSON, its date and times typed again."""
+    typed = {"load_date": lambda v: datetime.fromisoformat(v).date(), "ts": datetime.fromisoformat, "updated_at": datetime.fromisoformat}
+    return {k: typed[k](v) if k in typed and isinstance(v, str) else v for k, v in row.items()}
+
+
 class StateStore:
     """Events and watermarks under one folder.  Rows carry an event id, and readers take each id once, so replays do no harm."""
 
-    def __init__(self, spark: SparkSession, root: str, source_id: str, run_id: str | None = None, flush_every: int = 50, flush_seconds: float = 120):
+    def __init__(self, spark: SparkSession, root: str, source_id: str, run_id: str | None = None, flush_every: int = 50, flush_seconds: float = 120, outbox: Outbox | None = None):
+        """``outbox``: rows are put there before they wait for a flush, and those that a broken run left are written now."""
         self.spark, self.root, self.source_id = spark, root.rstrip("/"), source_id
         self.flush_seconds, self.flushed_at = flush_seconds, time.monotonic()
         self.run_id, self.flush_every, self.seq = run_id or uuid.uuid4().hex, flush_every, 0
         self.pending: dict[str, list[dict]] = {"events": [], "watermarks": []}
+        self.outbox, self.kept, self.read_once = outbox, [], {}
+        for kind in self.pending if outbox else ():
+            outbox.replay(kind, lambda rows, kind=kind: self.replay(kind, [revived(r) for r in rows]))
 
     def _row(self, schema: str, table: str) -> dict:
         self.seq += 1
@@ -68,7 +80,10 @@ class StateStore:
 
     def _add(self, kind: str, row: dict) -> None:
         row.pop("_now", None)
+        if self.outbox:
+            self.kept.append(self.outbox.put(kind, [row]))
         self.pending[kind].append(row)
+        self.read_once.clear()
         if len(self.pending[kind]) >= self.flush_every or time.monotonic() - self.flushed_at >= self.flush_seconds:
             self.flush()
 
@@ -81,14 +96,22 @@ class StateStore:
                 names = [p.split()[0] for p in schema.split(", ")]
                 self.spark.createDataFrame([tuple(r.get(n) for n in names) for r in rows], schema).coalesce(1).write.parquet(f"{self.root}/{kind}/{uuid.uuid4().hex}")
                 self.pending[kind] = []
+        for path in self.kept:
+            self.outbox.done(path)
+        self.kept = []
 
     def replay(self, kind: str, rows: list[dict]) -> None:
         self.pending[kind] += rows
         self.flush()
 
-    def _read(self, kind: str, schema: str) -> DataFrame:
-        from tidelake.sources.storage import Storage
+    def preload(self) -> None:
+        """Fetch the best status of every table's days and the newest watermarks at once, for ``day_status`` and ``progress`` to use until something is written."""
+        key = ["schema_name", "table_name"]
+        best = best_status(self.events(), [*key, "load_date", "mode", "phase"], tiebreak=("event_seq",)).select(*key, F.col("load_date").cast("string").alias("day"), "mode", "phase", "status", "ts").collect()
+        newest = latest_progress(self.watermarks(), key).collect()
+        self.read_once = {"days": best, "progress": {(r["schema_name"], r["table_name"]): (r["watermark"], r["last_loaded_date"]) for r in newest}}
 
+    def _read(self, kind: str, schema: str) -> DataFrame:
         self.flush()
         store = Storage(self.spark)
         own = self.spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(f"{self.root}/{kind}") if store.exists(f"{self.root}/{kind}") else self.spark.createDataFrame([], schema)
@@ -102,6 +125,10 @@ class StateStore:
 
     def day_status(self, schema: str, table: str, load_date: str, mode: str | None = None) -> dict[str, bool]:
         """For each phase of a table's day: did it end in success?  The best status counts."""
+        if "days" in self.read_once:
+            own = [r for r in self.read_once["days"] if (r["schema_name"], r["table_name"], r["day"]) == (schema, table, str(load_date)) and mode in (None, r["mode"])]
+            done = {p: any(r["status"] == "success" for r in own if r["phase"] == p) for p in {r["phase"] for r in own}}
+            return {"raw": False, "finalize": False} | done
         rows = self.events().where((F.col("schema_name") == schema) & (F.col("table_name") == table) & (F.col("load_date") == F.to_date(F.lit(load_date))))
         rows = rows.where(F.col("mode") == mode) if mode else rows
         found = {r["phase"]: r["status"] == "success" for r in best_status(rows, ["phase"], tiebreak=("event_seq",)).collect()}
@@ -109,6 +136,8 @@ class StateStore:
 
     def progress(self, schema: str, table: str) -> tuple[str, str] | None:
         """(watermark, last loaded date), the newest."""
+        if "progress" in self.read_once:
+            return self.read_once["progress"].get((schema, table))
         rows = self.watermarks().where((F.col("schema_name") == schema) & (F.col("table_name") == table))
         row = latest_progress(rows, ["schema_name", "table_name"]).first()
         return None if row is None else (row["watermark"], row["last_loaded_date"])

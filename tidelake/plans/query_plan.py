@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -123,16 +123,15 @@ class QueryResult:
 
     def scalar(self, alias: str | None = None):
         """The first row's value of ``alias`` (any case), or of its only column; None if there is no row."""
-        if not self.rows:
-            return None
-        row = self.rows[0]
-        if alias is None:
-            if len(row) != 1:
-                raise ValueError("several columns: name one")
-            return next(iter(row.values()))
-        if alias in row:
-            return row[alias]
-        lower = {k.lower(): v for k, v in row.items()}
-        if alias.lower() in lower:
-            return lower[alias.lower()]
-        raise KeyError(alias)
+        for row in self.rows[:1]:
+            named = [k for k in row if alias is None or k.lower() == alias.lower()]
+            chosen = [alias] if alias in named else named
+            if len(chosen) != 1:
+                raise (ValueError if alias is None else KeyError)(f"{alias or 'one column'} of {list(row)}")
+            return row[chosen[0]]
+        return None
+
+
+def sql_over(spark: SparkSession, text: str, **frames: DataFrame) -> DataFrame:
+    """A user's query over frames, which it names in braces."""
+    return spark.sql(text, **frames)
