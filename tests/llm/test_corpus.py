@@ -631,6 +631,20 @@ def test_packing(spark, odd):
         assert check_packing(rows, 2048) == plain_best_fit([r["length"] for r in rows], 2048)
 
 
+def test_ids_are_the_tokenizers():
+    """Every character below U+0250 among others, and random mixes."""
+    import random
+
+    encoder = bestfit.WordEncoder(bestfit.vocabulary_path())
+    rng, letters = random.Random(6), [*map(chr, range(0x260)), *"  \n'stredvml.,!09" * 20, "<|endoftext|>", "\u0307", "漢"]
+    texts = [f"a{chr(c)}b {chr(c)} 1{chr(c)}.{chr(c)}s '{chr(c)}" for c in range(0x250)]
+    texts += ["".join(rng.choice(letters) for _ in range(rng.randint(0, 40))) for _ in range(4000)]
+    texts += ["Ɓ Ɔ Ɖ Ɗ Ə Ɛ Ɠ Ɣ Ɩ Ɨ Ɯ Ɲ Ɵ Ʀ Ʃ Ʈ Ʊ Ʋ Ʒ Ⱥ Ⱦ Ʉ Ʌ", "\x00\x01 \x1c\x1f\x7f\x85\xa0\xad", "naïve ÀÉÎ İstanbul"]
+    for _ in range(2):  # the second time from the caches
+        for text in texts:
+            assert encoder.encode(text) == encoder.whole(text), text
+
+
 def test_packed_sequences_hold_the_ids(spark, odd):
     from tokenizers import Tokenizer
 

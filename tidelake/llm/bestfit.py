@@ -115,6 +115,13 @@ def _word_pattern() -> tuple[re.Pattern, re.Pattern]:
     return words, re.compile(f"[^\x00-\x1b\x20-{chr(LAST)}]")
 
 
+def _byte_letters() -> list[str]:
+    """The letter that stands for each byte in byte-level vocabularies: itself if it is visible, else the next from U+0100 on."""
+    visible = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    hidden = iter(range(0x100, 0x200))
+    return [chr(b if b in visible else next(hidden)) for b in range(256)]
+
+
 class Known(dict):
     """Ids of strings; those that aren't there are encoded, and kept within bounds."""
 
@@ -139,13 +146,19 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.pattern, self.odd = _word_pattern()
-        self.words = Known(self.whole)
+        self.model, self.letters = self.tokenizer.model, _byte_letters()
+        self.words = Known(self.word)
         self.strings = Known(lambda s: b"".join(map(self.words.__getitem__, self.pattern.findall(s))))
 
     def whole(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return b"".join([i.to_bytes(4, "little") for i in ids])
 
+    def word(self, text: str) -> bytes:
+        """Ids of one match of the word pattern, by the merges alone."""
+        named = text if text.isascii() else "".join([self.letters[b] for b in text.encode()])
+        return b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(named)])
+
     def encode(self, text: str) -> bytes:
         """Ids as little-endian 32-bit integers."""
         low = text.lower()
