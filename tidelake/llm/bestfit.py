@@ -156,7 +156,7 @@ class WordEncoder:
 
     def word(self, text: str) -> bytes:
         """Ids of one match of the word pattern, by the merges alone."""
-        named = text if text.isascii() else "".join([self.letters[b] for b in text.encode()])
+        named = text if text.isascii() and text.isprintable() else "".join([self.letters[b] for b in text.encode()])
         return b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(named)])
 
     def encode(self, text: str) -> bytes:
