@@ -1,6 +1,7 @@
 """Each corpus operator against a plain version of itself, on the smallest tables and on hand-made rows."""
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter
@@ -103,6 +104,68 @@ def test_flac_partitions_and_escapes():
     assert media_flac.read_frame(frame, 0)[2].tolist() == samples
 
 
+def flac_by_hand(columns, bits, layout, blocks=(0, 100, 200)):
+    """A stream of verbatim and Rice-coded frames of the given channels, and its PCM bytes."""
+    at, width = list(zip(blocks, [*blocks[1:], len(columns[0])])), (bits + 7) // 8
+    pcm = b"".join(int(v).to_bytes(width, "little", signed=True) for row in zip(*columns) for v in row)
+    frames = []
+    for number, (a, b) in enumerate(at):
+        parts = [list(c[a:b]) for c in columns]
+        depths = [bits] * len(parts)
+        if layout >= 8:
+            left, right = parts
+            side = [x - y for x, y in zip(left, right)]
+            parts = {8: [left, side], 9: [side, right], 10: [[(x + y) >> 1 for x, y in zip(left, right)], side]}[layout]
+            depths[0 if layout == 9 else 1] += 1
+        text, k = "", min(bits - 1, 30)
+        for c, (part, depth) in enumerate(zip(parts, depths)):
+            word = lambda v, n=depth: f"{v & ((1 << n) - 1):0{n}b}"
+            if (c + number) % 2:
+                text += "0" + f"{1:06b}" + "0" + "".join(map(word, part))
+            else:  # a linear predictor of order 2: 2a - b, in units of a half
+                text += "0" + f"{33:06b}" + "0" + "".join(map(word, part[:2])) + f"{3:04b}{1:05b}" + word(4, 4) + word(-2, 4) + "01" + "0000" + f"{k:05b}"
+                for i in range(2, len(part)):
+                    r = part[i] - ((4 * part[i - 1] - 2 * part[i - 2]) >> 1)
+                    z = 2 * r if r >= 0 else -2 * r - 1
+                    text += "0" * (z >> k) + "1" + word(z, k)
+        text += "0" * (-len(text) % 8)
+        code = {8: 1, 12: 2, 16: 4, 20: 5, 24: 6, 32: 7}.get(bits, 0)
+        head = bytes([0xFF, 0xF8, 0x70, layout << 4 | code << 1]) + media_flac.coded_number(number) + (b - a - 1).to_bytes(2, "big")
+        frame = head + bytes([media_flac.crc8(head)]) + int(text, 2).to_bytes(len(text) // 8, "big")
+        frames.append(frame + media_flac.crc16(frame).to_bytes(2, "big"))
+    info = bytes([0, 16, 1, 0]) + bytes(6) + (44100 << 44 | (len(columns) - 1) << 41 | (bits - 1) << 36 | len(columns[0])).to_bytes(8, "big") + hashlib.md5(pcm).digest()
+    return b"fLaC\x80" + len(info).to_bytes(3, "big") + info + b"".join(frames), pcm
+
+
+@pytest.mark.parametrize("bits, channels, layout", [(16, 2, 1), (16, 2, 8), (16, 2, 9), (16, 2, 10), (8, 2, 10), (24, 1, 0), (12, 3, 2), (32, 2, 10), (13, 1, 0), (20, 8, 7)])
+def test_flac_widths_and_channels(spark, bits, channels, layout):
+    top = (1 << (bits - 1)) - 1
+    columns = [[int(top * math.sin(i * (c + 1) / 9)) if i % 50 else (-top - 1, top)[i // 50 % 2] for i in range(257)] for c in range(channels)]
+    stream, pcm = flac_by_hand(columns, bits, layout)
+    samples, offsets, _ = media_flac.decode_many([stream])[0]
+    assert media_flac.pcm_bytes(samples, bits) == pcm and offsets.tolist() == [0, 100, 200]
+    assert media_flac.seek(stream, 90, 30).tolist() == samples[90:120].tolist()
+    if layout == 10:
+        rows = media_flac.pcm_blocks(spark.createDataFrame([(None, bytearray(stream))], "id bigint, media binary")).orderBy("block").collect()
+        assert [(r["id"], r["sample_offset"], r["n_samples"], r["channels"], r["bits"]) for r in rows] == [(None, 0, 100, channels, bits), (None, 100, 100, channels, bits), (None, 200, 57, channels, bits)]
+        assert b"".join(bytes(r["pcm"]) for r in rows) == pcm
+
+
+def test_flac_cut_anywhere():
+    """A stream that ends early, wherever, or has a byte changed, is refused, alone or among others."""
+    whole = media_flac.encode([bytes(range(64)) * 6 + b"words " * 64])[0]
+    stereo, _ = flac_by_hand([[i * 3 for i in range(230)], [-i for i in range(230)]], 16, 8)
+    for stream in (whole, stereo):
+        for at in range(len(stream)):
+            for many in ([stream[:at]], [stream[:at], whole]):
+                with pytest.raises(ValueError):
+                    media_flac.decode_many(many)
+    first = media_flac.parse_metadata(whole)[1]
+    for at in range(first, len(whole)):
+        with pytest.raises(ValueError):
+            media_flac.decode_many([whole[:at] + bytes([whole[at] ^ 0x41]) + whole[at + 1 :]])
+
+
 # 2
 
 def plain_fingerprint(text):

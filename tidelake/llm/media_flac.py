@@ -2,16 +2,17 @@
 
 ``encode`` writes mono 8-bit streams of 192-sample blocks: constant, verbatim,
 fixed-predictor or linear-predictor subframes with Rice-coded residuals, and a
-seek table.  ``decode`` reads any 8-bit mono FLAC stream: it decodes Rice
-partitions (escapes too) and linear predictors, verifies each frame's CRC-8 and
-CRC-16 and the stream's MD5, and gives PCM blocks with the sample offset and the
-byte offset of each, so that a reader can seek.  Frames of the shape that
-``encode`` writes are decoded in lockstep, all frames of a batch at once, one
+seek table.  The decoder reads streams of 4 to 32 bits and one to eight channels:
+it decodes Rice partitions (escapes too) and linear predictors, verifies each
+frame's CRC-8 and CRC-16 and the stream's MD5, and gives PCM blocks with the sample
+offset and the byte offset of each, so that a reader can seek.  Frames of the shape
+that ``encode`` writes are decoded in lockstep, all frames of a batch at once, one
 sample a step; any other frame goes through a bit reader.
 
-Samples are bytes less 128.  Defined results: null media or text is empty;
-an empty text is one block of spaces; equal bytes give equal streams; a damaged
-stream raises ``ValueError`` in ``decode``; an empty table gives no rows.
+A text's samples are its bytes less 128.  Defined results: a null text is empty;
+an empty text is one block of spaces; null media have no blocks; equal bytes give
+equal streams; a damaged or cut stream raises ``ValueError``; an empty table gives
+no rows; rows with equal or null ids are read one by one.
 """
 
 from __future__ import annotations
@@ -229,33 +230,21 @@ class _Bits:
         return n
 
 
-def read_frame(data: bytes, at: int) -> tuple[int, int, np.ndarray, int]:
-    """(number, variable blocking?, samples, end) of the frame at byte ``at``."""
-    bits = _Bits(data, at)
-    if bits.take(15) != 0x7FFC:
-        raise ValueError(f"no frame at byte {at}")
-    variable = bits.take(1)
-    size_code, rate_code, channels, width, _ = bits.take(4), bits.take(4), bits.take(4), bits.take(3), bits.take(1)
-    lead = bits.take(8)
-    more = next(i for i in range(8) if not lead & (0x80 >> i)) if lead < 0xFF else 8
-    if lead == 0xFF or more == 1:
-        raise ValueError("bad frame number")
-    number = lead & (0x7F >> more)
-    for _ in range(max(0, more - 1)):
-        number = number << 6 | bits.take(8) & 0x3F
-    size = {1: 192, 6: None, 7: None}.get(size_code, 576 << (size_code - 2) if 2 <= size_code <= 5 else 256 << (size_code - 8) if size_code >= 8 else 0)
-    if size_code in (6, 7):
-        size = bits.take(8 * (size_code - 5)) + 1
-    if rate_code in (12, 13, 14):
-        bits.take(8 if rate_code == 12 else 16)
-    if not size or channels or width not in (0, 1):
-        raise ValueError("not an 8-bit mono frame")
-    if crc8(data[at : bits.at // 8]) != bits.take(8):
-        raise ValueError(f"header checksum at byte {at}")
-    bits.take(1)
+#: Fixed values of frame headers: bits a sample, of the codes that aren't reserved (0: as the stream says).
+WIDTHS = {1: 8, 2: 12, 4: 16, 5: 20, 6: 24, 7: 32}
+#: Block sizes by code; 6 and 7 stand for a field of one or two bytes.
+SIZES = {1: 192} | {c: 576 << (c - 2) for c in range(2, 6)} | {c: 256 << (c - 8) for c in range(8, 16)}
+
+
+def _subframe(bits: _Bits, size: int, depth: int) -> list[int]:
+    """The ``size`` samples, of ``depth`` bits, of one channel."""
+    if bits.take(1):
+        raise ValueError("bad subframe header")
     kind = bits.take(6)
     wasted = 1 + bits.unary() if bits.take(1) else 0
-    depth = 8 - wasted
+    depth -= wasted
+    if depth < 1:
+        raise ValueError("no bits are left of a sample")
     if kind == 0:
         samples = [bits.signed(depth)] * size
     elif kind == 1:
@@ -265,11 +254,13 @@ def read_frame(data: bytes, at: int) -> tuple[int, int, np.ndarray, int]:
         samples = [bits.signed(depth) for _ in range(order)]
         if kind >= 32:
             precision, shift = bits.take(4) + 1, bits.signed(5)
+            if precision == 16 or shift < 0:
+                raise ValueError("bad linear predictor")
             weights = [bits.signed(precision) for _ in range(order)]
         else:
             shift, weights = 0, [[], [1], [2, -1], [3, -3, 1], [4, -6, 4, -1]][order]
         method, parts = bits.take(2), 1 << bits.take(4)
-        if method > 1 or size % parts:
+        if method > 1 or size % parts or size // parts < order:
             raise ValueError("bad residual coding")
         field = 4 + method
         for part in range(parts):
@@ -283,12 +274,52 @@ def read_frame(data: bytes, at: int) -> tuple[int, int, np.ndarray, int]:
                     z |= bits.take(k) if k else 0
                     r = (z >> 1) ^ -(z & 1)
                 samples.append(r + (sum(w * s for w, s in zip(weights, reversed(samples[len(samples) - order :]))) >> shift if order else 0))
+        low, high = -1 << (depth - 1), 1 << (depth - 1)
+        if not all(low <= v < high for v in samples):
+            raise ValueError("a sample is out of range")
     else:
         raise ValueError(f"reserved subframe {kind}")
+    return [v << wasted for v in samples] if wasted else samples
+
+
+def read_frame(data: bytes, at: int, stated: tuple[int, int] = (1, 8)) -> tuple[int, int, np.ndarray, int]:
+    """(number, variable blocking?, samples, end) of the frame at byte ``at`` of a stream with the stated channels and bits.
+
+    Samples have a row for each instant, and a column for each channel where there are several.
+    """
+    bits = _Bits(data, at)
+    if bits.take(15) != 0x7FFC:
+        raise ValueError(f"no frame at byte {at}")
+    variable = bits.take(1)
+    size_code, rate_code, layout, width, _ = bits.take(4), bits.take(4), bits.take(4), bits.take(3), bits.take(1)
+    lead = bits.take(8)
+    more = next(i for i in range(8) if not lead & (0x80 >> i)) if lead < 0xFF else 8
+    if lead == 0xFF or more == 1:
+        raise ValueError("bad frame number")
+    number = lead & (0x7F >> more)
+    for _ in range(max(0, more - 1)):
+        number = number << 6 | bits.take(8) & 0x3F
+    size = bits.take(8 * (size_code - 5)) + 1 if size_code in (6, 7) else SIZES.get(size_code)
+    if rate_code in (12, 13, 14):
+        bits.take(8 if rate_code == 12 else 16)
+    if crc8(data[at : bits.at // 8]) != bits.take(8):
+        raise ValueError(f"header checksum at byte {at}")
+    channels, depth = (layout + 1 if layout < 8 else 2), WIDTHS.get(width, stated[1] if width == 0 else 0)
+    if not size or rate_code == 15 or layout > 10 or (channels, depth) != tuple(stated):
+        raise ValueError(f"the frame at byte {at} isn't of the stream's shape")
+    side = {8: 1, 9: 0, 10: 1}.get(layout)  # the channel that is a difference has a bit more
+    columns = [np.array(_subframe(bits, size, depth + (c == side)), dtype=np.int64) for c in range(channels)]
+    if layout == 8:
+        columns[1] = columns[0] - columns[1]
+    elif layout == 9:
+        columns[0] = columns[0] + columns[1]
+    elif layout == 10:
+        twice = columns[0] << 1 | columns[1] & 1
+        columns = [(twice + columns[1]) >> 1, (twice - columns[1]) >> 1]
     end = -(-bits.at // 8)
-    if crc16(data[at:end]) != int.from_bytes(data[end : end + 2], "big"):
+    if end + 2 > len(data) or crc16(data[at:end]) != int.from_bytes(data[end : end + 2], "big"):
         raise ValueError(f"frame checksum at byte {at}")
-    return number, variable, np.array(samples, dtype=np.int16) << wasted, end + 2
+    return number, variable, columns[0] if channels == 1 else np.stack(columns, axis=1), end + 2
 
 
 def _lockstep(data: np.ndarray, start: np.ndarray, body: np.ndarray, out: np.ndarray) -> np.ndarray:
@@ -403,7 +434,7 @@ def _frame_starts(data: np.ndarray, first: int) -> tuple[np.ndarray, np.ndarray]
     heads = _headers(len(at) + 1)
     for a in at.tolist():
         head = heads[number]
-        if raw.startswith(head, a):
+        if raw.startswith(head, a) and a + len(head) < len(raw):
             starts.append(a)
             bodies.append(a + len(head))
             number += 1
@@ -418,30 +449,50 @@ def parse_metadata(stream: bytes) -> tuple[dict, int]:
         raise ValueError("not a FLAC stream")
     at, last, found = 4, 0, {"seek": []}
     while not last:
-        last, kind, size = stream[at] >> 7, stream[at] & 0x7F, int.from_bytes(stream[at + 1 : at + 4], "big")
+        head = stream[at : at + 4]
+        size = int.from_bytes(head[1:], "big")
         body = stream[at + 4 : at + 4 + size]
-        if len(body) < size:
+        if len(head) < 4 or len(body) < size:
             raise ValueError("the stream ends within its metadata")
+        last, kind = head[0] >> 7, head[0] & 0x7F
+        if (kind == 0) != (at == 4) or kind == 0 and size != 34 or kind == 3 and size % 18:
+            raise ValueError("bad metadata")
         if kind == 0:
             packed = int.from_bytes(body[10:18], "big")
             found |= {"rate": packed >> 44, "channels": (packed >> 41 & 7) + 1, "bits": (packed >> 36 & 31) + 1, "samples": packed & ((1 << 36) - 1), "md5": body[18:34]}
         elif kind == 3:
             found["seek"] = [(int.from_bytes(body[i : i + 8], "big"), int.from_bytes(body[i + 8 : i + 16], "big")) for i in range(0, size, 18)]
         at += 4 + size
-    if "md5" not in found or found["channels"] != 1 or found["bits"] != 8:
-        raise ValueError("not an 8-bit mono stream")
+    if found["bits"] < 4:
+        raise ValueError("fewer than 4 bits a sample")
     return found, at
 
 
+def shape(info: dict) -> tuple[int, int]:
+    return info["channels"], info["bits"]
+
+
+def as_pcm(samples: np.ndarray, bits: int) -> np.ndarray:
+    """The samples in the smallest type of whole bytes that numpy has."""
+    return samples.astype(np.int8 if bits <= 8 else "<i2" if bits <= 16 else "<i4")
+
+
+def pcm_bytes(pcm: np.ndarray, bits: int) -> bytes:
+    """Interleaved little-endian samples of the least whole number of bytes."""
+    if 16 < bits <= 24:
+        return np.ascontiguousarray(pcm).view(np.uint8).reshape(-1, 4)[:, :3].tobytes()
+    return pcm.tobytes()
+
+
 def decode_many(streams: list[bytes]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """For each stream: PCM samples (int8), and the sample and byte offset of each block."""
+    """For each stream: PCM samples (``as_pcm``), and the sample and byte offset of each block."""
     out: list = [None] * len(streams)
     fast, starts, bodies, owner, base = [], [], [], [], 0
     joined = []
     for i, stream in enumerate(streams):
         info, first = parse_metadata(stream)
         data = np.frombuffer(stream, dtype=np.uint8)
-        found = _frame_starts(data, first)
+        found = _frame_starts(data, first) if shape(info) == (1, 8) else None
         if found is not None and len(found[0]) * BLOCK == info["samples"]:
             fast.append((i, info, found[0]))
             starts.append(found[0] + base)
@@ -452,6 +503,7 @@ def decode_many(streams: list[bytes]) -> list[tuple[np.ndarray, np.ndarray, np.n
         else:
             out[i] = decode_slow(stream)
     if fast:
+        joined.append(np.zeros(16, np.uint8))  # the last frame may be cut
         data, s, b, stop = map(np.concatenate, (joined, starts, bodies, owner))
         after = np.r_[s[1:], base]
         after = np.minimum(after, stop)
@@ -483,7 +535,7 @@ def decode_many(streams: list[bytes]) -> list[tuple[np.ndarray, np.ndarray, np.n
 def _verify(pcm: np.ndarray, info: dict) -> None:
     if info["samples"] and len(pcm) != info["samples"]:
         raise ValueError("the stream has other than its stated samples")
-    if any(info["md5"]) and hashlib.md5(pcm.tobytes()).digest() != info["md5"]:
+    if any(info["md5"]) and hashlib.md5(pcm_bytes(pcm, info["bits"])).digest() != info["md5"]:
         raise ValueError("the samples' MD5 differs")
 
 
@@ -492,12 +544,12 @@ def decode_slow(stream: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     info, at = parse_metadata(stream)
     blocks, offsets, places, total = [], [], [], 0
     while at < len(stream):
-        _, _, samples, end = read_frame(stream, at)
-        blocks.append(samples.astype(np.int8))
+        _, _, samples, end = read_frame(stream, at, shape(info))
+        blocks.append(as_pcm(samples, info["bits"]))
         offsets.append(total)
         places.append(at)
         total, at = total + len(samples), end
-    pcm = np.concatenate(blocks) if blocks else np.zeros(0, np.int8)
+    pcm = np.concatenate(blocks) if blocks else as_pcm(np.zeros(0), info["bits"])
     _verify(pcm, info)
     return pcm, np.array(offsets, dtype=np.int64), np.array(places, dtype=np.int64)
 
@@ -508,21 +560,33 @@ def seek(stream: bytes, sample: int, count: int) -> np.ndarray:
     at_sample, at = max(((s, first + o) for s, o in info["seek"] if s <= sample), default=(0, first))
     out: list[np.ndarray] = []
     while at < len(stream) and at_sample < sample + count:
-        _, _, samples, at = read_frame(stream, at)
-        out.append(samples.astype(np.int8)[max(0, sample - at_sample) : sample + count - at_sample])
+        _, _, samples, at = read_frame(stream, at, shape(info))
+        out.append(as_pcm(samples, info["bits"])[max(0, sample - at_sample) : sample + count - at_sample])
         at_sample += len(samples)
-    return np.concatenate(out) if out else np.zeros(0, np.int8)
+    return np.concatenate(out) if out else as_pcm(np.zeros(0), info["bits"])
 
 
 def payload(text: bytes) -> bytes:
     return text + b" " * (-len(text) % BLOCK or (0 if text else BLOCK))
 
 
-def features(pcm: np.ndarray) -> str:
-    """Peak, root mean square and zero crossings of the samples, as text."""
-    wide = pcm.astype(np.int64)
-    crossings = int((np.diff(np.signbit(pcm)) != 0).sum())
-    return f"peak={int(np.abs(wide).max(initial=0))};energy={int((wide * wide).sum())};crossings={crossings}"
+class Features:
+    """Peak, energy and sign changes of the blocks it is given, in order."""
+
+    def __init__(self):
+        self.peak = self.energy = self.crossings = 0
+        self.last = None
+
+    def add(self, pcm: np.ndarray) -> None:
+        wide, negative = pcm.astype(np.int64), np.signbit(pcm)
+        self.peak = max(self.peak, int(np.abs(wide).max(initial=0)))
+        self.energy += int((wide * wide).sum())
+        self.crossings += int((negative[1:] != negative[:-1]).sum()) + (self.last is not None and len(pcm) > 0 and bool(negative[0]) != self.last)
+        if len(pcm):
+            self.last = bool(negative[-1])
+
+    def __str__(self) -> str:
+        return f"peak={self.peak};energy={self.energy};crossings={self.crossings}"
 
 
 def store_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -536,21 +600,34 @@ def store_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return _texts(docs, id_col, text_col).mapInArrow(run, "id long, n_bytes long, media binary")
 
 
+#: PCM blocks that are handed on at once.
+BLOCKS = 4096
+
+
+def read_blocks(streams: list[bytes]) -> Iterator[tuple[int, dict, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(stream, its properties, first block, sample offsets, byte offsets, ends, samples) for every 4,096 verified blocks; offsets are the stream's, and samples begin at the first of them."""
+    for i, (pcm, offsets, places) in enumerate(decode_many(streams)):
+        info, _ = parse_metadata(streams[i])
+        ends = np.r_[offsets[1:], len(pcm)]
+        for j in range(0, len(offsets), BLOCKS):
+            part = slice(j, j + BLOCKS)
+            yield i, info, j, offsets[part], places[part], ends[part], pcm[offsets[j] : ends[part][-1]]
+
+
 def pcm_blocks(media: DataFrame, id_col: str = "id", media_col: str = "media") -> DataFrame:
-    """(id, block, sample_offset, byte_offset, n_samples, pcm): the verified PCM blocks of FLAC streams."""
+    """(id, block, sample_offset, byte_offset, n_samples, channels, bits, pcm): the verified PCM blocks of FLAC streams."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, streams in _chunks(batches):
-            for i, (pcm, offsets, places) in zip(ids.to_pylist(), decode_many(streams)):
-                ends = np.r_[offsets[1:], len(pcm)]
-                for j in range(0, len(offsets), 4096):
-                    part = slice(j, j + 4096)
-                    rows = [pcm[a:b].tobytes() for a, b in zip(offsets[part], ends[part])]
-                    columns = [pa.array([i] * len(rows), pa.int64()), pa.array(np.arange(j, j + len(rows))), pa.array(offsets[part]), pa.array(places[part]), pa.array(ends[part] - offsets[part]), pa.array(rows, pa.binary())]
-                    yield pa.RecordBatch.from_arrays(columns, ["id", "block", "sample_offset", "byte_offset", "n_samples", "pcm"])
+            for i, info, first, offsets, places, ends, pcm in read_blocks(streams):
+                n, base = len(offsets), offsets[0]
+                rows = [pcm_bytes(pcm[a:b], info["bits"]) for a, b in zip(offsets - base, ends - base)]
+                columns = [pa.array([ids[i].as_py()] * n, pa.int64()), pa.array(np.arange(first, first + n)), pa.array(offsets), pa.array(places), pa.array(ends - offsets)]
+                columns += [pa.array([v] * n, pa.int32()) for v in shape(info)]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(rows, pa.binary())], ["id", "block", "sample_offset", "byte_offset", "n_samples", "channels", "bits", "pcm"])
 
     source = media.where(F.col(media_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(media_col).alias("media"))
-    return source.mapInArrow(run, "id long, block long, sample_offset long, byte_offset long, n_samples long, pcm binary")
+    return source.mapInArrow(run, "id long, block long, sample_offset long, byte_offset long, n_samples long, channels int, bits int, pcm binary")
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -569,17 +646,32 @@ def _chunks(batches: Iterator[pa.RecordBatch], budget: int = 1_000_000):
                 start, used = i + 1, 0
 
 
+class _Digest:
+    """What the PCM blocks of one stored text amount to."""
+
+    def __init__(self):
+        self.sha, self.features, self.bytes, self.blocks, self.tail = hashlib.sha256(), Features(), 0, 0, b""
+
+    def add(self, pcm: np.ndarray, blocks: int) -> None:
+        back = (pcm.view(np.uint8) ^ 0x80).tobytes()
+        self.sha.update(back)
+        self.features.add(pcm)
+        self.bytes += len(back)
+        self.blocks += blocks
+        self.tail = (self.tail + back[-16:])[-16:]
+
+
 def media_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Store each text as FLAC, read the stored stream back, and digest what was read."""
+    """Store each text as FLAC, read the stored stream's PCM blocks back, and digest them."""
     schema = "id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, n_blocks long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, texts in _chunks(batches):
             media = encode([payload(t) for t in texts])
-            rows = []
-            for t, m, (pcm, offsets, _) in zip(texts, media, decode_many(media)):
-                back = (pcm.view(np.uint8) ^ 0x80).tobytes()
-                rows.append((len(t), len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-16:]), len(m), hashlib.sha256(m).hexdigest(), features(pcm), len(offsets)))
+            digests = [_Digest() for _ in media]
+            for i, _, _, offsets, _, _, pcm in read_blocks(media):
+                digests[i].add(pcm, len(offsets))
+            rows = [(len(t), d.bytes, d.sha.hexdigest(), zlib.crc32(d.tail), len(m), hashlib.sha256(m).hexdigest(), str(d.features), d.blocks) for t, m, d in zip(texts, media, digests)]
             columns = [ids, *(pa.array(list(c)) for c in zip(*rows))]
             yield pa.RecordBatch.from_arrays(columns, ["id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "n_blocks"])
 
